@@ -1,0 +1,5 @@
+"""Deliberately empty: the work covered here has no streams.
+
+Its nearest relative, the daily increment, is an idempotent batch append and
+lives in ``tidemark.sources.writers``.
+"""
