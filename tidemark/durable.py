@@ -40,11 +40,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the reliable checkpoint folder and cut its lineage."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+    """Write ``df`` to the shared folder, once, and go on from what was written.
+
+    Cuts the lineage like a checkpoint does, but the copy is columnar and its
+    size is known to later joins.
+    """
+    path = scratch_path(df.sparkSession, "durable")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def broadcast_within(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -14,7 +14,11 @@ from tidemark.durable import durable
 from tidemark.functions.columns import chi_square_p_value, ks_p_value
 from tidemark.operators.running import running_sums
 
-BUCKETS = 256
+BUCKETS = 512
+EDGE_SAMPLE = 0.05
+
+# A window over this many narrow rows sorts within the memory of one task.
+WINDOW_ROWS = 2_000_000
 
 
 def reference_rows(features: DataFrame, training_keys: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -43,11 +47,6 @@ def _both(reference: DataFrame, test: DataFrame, columns: Sequence[Column]) -> D
         test.select(F.lit(0).alias("in_ref"), *columns))
 
 
-def _splits(quantiles: Sequence[float]) -> list[float]:
-    inner = sorted({q for q in quantiles if math.isfinite(q)}) or [0.0]
-    return [-math.inf, *inner, math.inf]
-
-
 def _gap(ref: Column, test: Column) -> Column:
     """Difference of the two distribution functions; null if a sample is empty."""
     return F.try_divide(ref, F.col("n_ref")) - F.try_divide(test, F.col("n_test"))
@@ -59,22 +58,33 @@ def _sizes() -> list[Column]:
     return [F.sum("in_ref").alias("ref"), F.sum(1 - F.col("in_ref")).alias("test")]
 
 
+def _edges(wide: DataFrame, names: Sequence[str], buckets: int) -> list[list[float]]:
+    """Bucket bounds per feature: quantiles of a few percent of the rows.
+
+    Any bounds give the same test result. Good ones only make the buckets even,
+    so they are not worth a pass over every value.
+    """
+    few = wide.select(*names).sample(EDGE_SAMPLE, seed=0)
+    quantiles = few.approxQuantile(
+        list(names), [i / buckets for i in range(1, buckets)], 1.0 / (2 * buckets))
+    inner = [sorted({q for q in qs or [] if math.isfinite(q)}) or [0.0] for qs in quantiles]
+    return [[-math.inf, *edges, math.inf] for edges in inner]
+
+
 def ks_drift(reference: DataFrame, test: DataFrame, features: Sequence[str],
-             buckets: int = BUCKETS) -> DataFrame:
+             buckets: int = BUCKETS, window_rows: int = WINDOW_ROWS) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov test per numeric feature.
 
     The statistic is exact, but only a sliver of the data is ever sorted. Both
-    samples are counted in buckets between approximate quantiles; that gives
-    the gap of the distribution functions at every bucket end, and a bound on
-    it inside every bucket. Only buckets that could hold a larger gap than the
-    best one seen are looked at value by value. Nulls and NaN are left out.
+    samples are counted in buckets; that gives the gap of the distribution
+    functions at every bucket end, and a bound on it inside every bucket. Only
+    buckets that could hold a larger gap than the best one seen are looked at
+    value by value. Nulls and NaN are left out.
     """
     names = list(features)
     wide = _both(reference, test, [F.col(c).cast("double").alias(c) for c in names])
-    probabilities = [i / buckets for i in range(1, buckets)]
-    quantiles = wide.approxQuantile(names, probabilities, 1.0 / (2 * buckets))
     bucketed = Bucketizer(
-        splitsArray=[_splits(q or []) for q in quantiles],
+        splitsArray=_edges(wide, names, buckets),
         inputCols=names,
         outputCols=[f"_b{i}" for i in range(len(names))],
         handleInvalid="keep",
@@ -87,7 +97,7 @@ def ks_drift(reference: DataFrame, test: DataFrame, features: Sequence[str],
     long = bucketed.select("in_ref", F.inline(F.array(*cells))).where(
         F.col("value").isNotNull() & ~F.isnan("value"))
 
-    # At most features x buckets rows from here on.
+    # At most features x buckets rows.
     coarse = durable(long.groupBy("feature", "bucket").agg(
         *_sizes(), F.min("value").alias("low"), F.max("value").alias("high")))
     whole = Window.partitionBy("feature")
@@ -106,33 +116,48 @@ def ks_drift(reference: DataFrame, test: DataFrame, features: Sequence[str],
     bound = F.greatest(F.abs(_gap(F.col("ref_upto"), test_before)),
                        F.abs(_gap(ref_before, F.col("test_upto"))))
     # A bucket with a single value has no inside; its end is already exact.
-    open_buckets = ends.where((bound > F.col("best")) & (F.col("low") < F.col("high")))
-
-    starts = open_buckets.select(
+    starts = ends.where((bound > F.col("best")) & (F.col("low") < F.col("high"))).select(
         "feature", "bucket", "n_ref", "n_test",
         ref_before.alias("ref_before"), test_before.alias("test_before"),
+        (F.col("ref") + F.col("test")).alias("size"),
     )
-    values = long.join(F.broadcast(starts.select("feature", "bucket")), on=["feature", "bucket"])
-    counted = values.groupBy("feature", "bucket", "value").agg(*_sizes())
-    inner = running_sums(counted, ["feature", "bucket"], ["value"], ["ref", "test"])
-    inner_gap = F.abs(_gap(F.col("ref_before") + F.col("ref_upto"),
-                           F.col("test_before") + F.col("test_upto")))
-    inside = inner.join(F.broadcast(starts), on=["feature", "bucket"]).select(
-        "feature", "n_ref", "n_test", inner_gap.alias("gap"))
-
-    found = ends.select("feature", "n_ref", "n_test", "gap").unionByName(inside)
+
+    found = ends.select("feature", "n_ref", "n_test", "gap")
+    largest = starts.agg(F.max("size")).first()[0]
+    if largest is not None:
+        found = found.unionByName(_gaps_inside(long, starts, sliced=largest > window_rows))
     tested = found.groupBy("feature").agg(
         F.max("n_ref").alias("n_ref"), F.max("n_test").alias("n_test"),
-        F.max("gap").alias("statistic"))
-    # One empty population leaves nothing to compare: no gap, no drift.
-    statistic = F.coalesce("statistic", F.lit(0.0))
+        F.max("gap").alias("gap"))
+    # One empty sample leaves nothing to compare: no gap, no drift.
+    statistic = F.coalesce("gap", F.lit(0.0))
     return tested.select(
         "feature", "n_ref", "n_test", statistic.alias("statistic"),
-        F.coalesce(ks_p_value(statistic, F.col("n_ref"), F.col("n_test")),
-                   F.lit(1.0)).alias("p_value"),
+        ks_p_value(statistic, F.col("n_ref"), F.col("n_test")).alias("p_value"),
     )
 
 
+def _gaps_inside(long: DataFrame, starts: DataFrame, sliced: bool) -> DataFrame:
+    """Gap at every value of the buckets in ``starts``.
+
+    A window takes each bucket into one task, which is fine for buckets known
+    to be small; otherwise the order is cut into slices.
+    """
+    keys = ["feature", "bucket"]
+    values = long.join(F.broadcast(starts.select(*keys)), on=keys)
+    counted = values.groupBy(*keys, "value").agg(*_sizes())
+    if sliced:
+        counted = running_sums(counted, keys, ["value"], ["ref", "test"])
+    else:
+        upto = Window.partitionBy(*keys).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+        counted = counted.withColumns({
+            f"{c}_upto": F.sum(c).over(upto) for c in ("ref", "test")})
+    gap = F.abs(_gap(F.col("ref_before") + F.col("ref_upto"),
+                     F.col("test_before") + F.col("test_upto")))
+    return counted.join(F.broadcast(starts), on=keys).select(
+        "feature", "n_ref", "n_test", gap.alias("gap"))
+
+
 def chi_square_drift(reference: DataFrame, test: DataFrame, features: Sequence[str],
                      correction: bool = True) -> DataFrame:
     """Chi-square test of the value counts per categorical feature.

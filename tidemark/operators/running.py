@@ -18,7 +18,7 @@ def running_sums(df: DataFrame, by: Sequence[str], order: Sequence[str],
     A window over ``by`` would put a whole group into one task. Here the rows
     are cut into consecutive slices by range, each slice is summed by itself,
     and the totals of the slices before it are added. The slice number is a
-    stored column of a checkpoint, so that a task which is run again cannot
+    stored column of a written table, so that a task which is run again cannot
     see another slicing. ``order`` must be unique within ``by``: equal rows
     would land in one slice, however many there are.
     """

@@ -6,8 +6,8 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -96,16 +96,66 @@ def train_test_split(df: DataFrame, keys: Sequence[str],
 def fit_linear(df: DataFrame, features: Sequence[str], target: str) -> LinearModel:
     """Ordinary least squares with intercept; rows with nulls are left out.
 
-    One distributed pass sums the normal equations; only those, a square matrix
-    in the number of features, reach the driver.
+    One pass sums the products of all pairs of columns, a small matrix per
+    task; only their total, a square in the number of features, reaches the
+    driver. Features that depend on each other, such as the indicators of a
+    category, get the solution of smallest norm.
     """
-    rows = df.select(*[F.col(c).cast("double").alias(c) for c in (*features, target)]).na.drop()
-    vectors = VectorAssembler(inputCols=list(features), outputCol="_features").transform(rows)
-    fitted = LinearRegression(
-        featuresCol="_features", labelCol=target, solver="normal", regParam=0.0,
-    ).fit(vectors)
-    return LinearModel(tuple(features), tuple(float(c) for c in fitted.coefficients),
-                       float(fitted.intercept))
+    columns = [*features, target]
+    rows = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).na.drop()
+    origin = rows.first()
+    if origin is None:
+        raise ValueError("no complete rows to fit")
+    # Products are taken about some row, so that a column far from zero does
+    # not lose its digits.
+    total = _products(rows, np.array(origin))
+    n, sums, products = total[0, 0], total[0, 1:], total[1:, 1:]
+    scatter = products - np.outer(sums, sums) / n
+    weights = smallest_solution(scatter[:-1, :-1], scatter[:-1, -1])
+    means = np.array(origin) + sums / n
+    return LinearModel(tuple(features), tuple(weights.tolist()),
+                       float(means[-1] - weights @ means[:-1]))
+
+
+def _products(rows: DataFrame, origin: np.ndarray) -> np.ndarray:
+    """Sums of products of all pairs among 1 and the columns less ``origin``."""
+    size = len(origin) + 1
+
+    def partial_sums(batches):
+        total = np.zeros((size, size))
+        for batch in batches:
+            block = np.ones((batch.num_rows, size))
+            for i in range(1, size):
+                block[:, i] = batch.column(i - 1).to_numpy(zero_copy_only=False) - origin[i - 1]
+            total += block.T @ block
+        i, j = np.indices((size, size))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(i.ravel()), pa.array(j.ravel()), pa.array(total.ravel())], ["i", "j", "s"])
+
+    cells = rows.mapInArrow(partial_sums, "i long, j long, s double").groupBy("i", "j").agg(
+        F.sum("s").alias("s"))
+    total = np.zeros((size, size))
+    for r in cells.collect():
+        total[r["i"], r["j"]] = r["s"]
+    return total
+
+
+def smallest_solution(scatter: np.ndarray, cross: np.ndarray) -> np.ndarray:
+    """The solution of smallest norm of the normal equations.
+
+    Dependence is judged on the correlation scale, where units do not matter;
+    the part along dependent directions is then taken out in the given units.
+    """
+    spread = np.sqrt(np.diag(scatter))
+    spread[spread == 0] = 1.0
+    values, vectors = np.linalg.eigh(scatter / np.outer(spread, spread))
+    free = values < 1e-10 * max(values[-1], 1.0)
+    kept = vectors[:, ~free]
+    weights = kept @ ((kept.T @ (cross / spread)) / values[~free]) / spread
+    if free.any():
+        basis, _ = np.linalg.qr(vectors[:, free] / spread[:, None])
+        weights = weights - basis @ (basis.T @ weights)
+    return weights
 
 
 def model_frame(spark: SparkSession, model: LinearModel) -> DataFrame:

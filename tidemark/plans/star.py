@@ -1,8 +1,8 @@
 """The sales star laid over the order tables of the test data.
 
 Lines with status F are store sales, those with status O web sales. The order
-is the date key, the part the item, the supplier the store, and the nation of
-the supplier the web site.
+is the date key, the part the item, the supplier the store, and the supplier's
+nation the web site.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _fact(lines: DataFrame, channel: Channel) -> DataFrame:
+def _fact(lines: DataFrame, outlet_key: Column, channel: Channel) -> DataFrame:
     def part_of(price: Column, rate: Column) -> Column:
         return (price * rate.cast("decimal(3,2)")).cast(MONEY)
 
@@ -33,7 +33,7 @@ def _fact(lines: DataFrame, channel: Channel) -> DataFrame:
     columns = {
         "sold_date_sk": F.col("l_orderkey"),
         "item_sk": F.col("l_partkey"),
-        channel.outlet_key: F.col("l_suppkey"),
+        channel.outlet_key: outlet_key,
         "quantity": F.col("l_quantity").cast("int"),
         "ext_wholesale_cost": part_of(price, F.lit("0.75")),
         "ext_list_price": price,
@@ -52,11 +52,14 @@ def _fact(lines: DataFrame, channel: Channel) -> DataFrame:
 def sales_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The six tables ``sales_lines`` joins."""
     lines, orders = load(spark, sf_dir, "lineitem"), load(spark, sf_dir, "orders")
-    supplier, nation = load(spark, sf_dir, "supplier"), load(spark, sf_dir, "nation")
+    supplier = load(spark, sf_dir, "supplier")
+    web_lines = lines.where(F.col("l_linestatus") == "O").join(
+        supplier.select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey"), on="l_suppkey")
     day = F.col("o_orderdate").cast("date")
     return {
-        "store_sales": _fact(lines.where(F.col("l_linestatus") == "F"), STORE),
-        "web_sales": _fact(lines.where(F.col("l_linestatus") == "O"), WEB),
+        "store_sales": _fact(
+            lines.where(F.col("l_linestatus") == "F"), F.col("l_suppkey"), STORE),
+        "web_sales": _fact(web_lines, F.col("s_nationkey"), WEB),
         "date_dim": orders.select(
             F.col("o_orderkey").alias("d_date_sk"),
             day.alias("d_date"),
@@ -71,7 +74,6 @@ def sales_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         ),
         "store": supplier.select(
             F.col("s_suppkey").alias("s_store_sk"), F.col("s_name").alias("s_store_name")),
-        "web_site": supplier.join(
-            nation, supplier["s_nationkey"] == nation["n_nationkey"]
-        ).select(F.col("s_suppkey").alias("web_site_sk"), F.col("n_name").alias("web_name")),
+        "web_site": load(spark, sf_dir, "nation").select(
+            F.col("n_nationkey").alias("web_site_sk"), F.col("n_name").alias("web_name")),
     }
