@@ -200,3 +200,13 @@ def test_other_read_failures_are_not_swallowed(spark, tmp_path):
     with pytest.raises(Exception) as caught:
         readers.path_exists(spark, str(tmp_path / "t"))
     assert not isinstance(caught.value, AnalysisException)
+
+
+def test_a_day_that_is_there_is_not_computed_again(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for value in (1, 2):
+        writers.append_new_days(days(spark, FIRST, LAST, value), path, day=FIRST)
+    assert held(spark, path) == [(FIRST, 1)]
+    broken = days(spark, FIRST, LAST).withColumn("v", F.raise_error(F.lit("computed")).cast("int"))
+    writers.append_new_days(broken, path, day=FIRST)
+    assert writers.holds_day(spark, path, FIRST) and not writers.holds_day(spark, path, LAST)

@@ -72,11 +72,11 @@ def house_enriched(spark: SparkSession, raw_path: str, path: str, keys: Sequence
     Returns the check results of the layer.
     """
     raw = tr.in_date_range(readers.read_table(spark, raw_path), day_col, day=day)
-    cleaned = clean(raw)
     if day is None:
-        writers.rebuild_table(cleaned, path, partition_by=day_col, rebalance=True)
-    else:
-        writers.append_new_days(cleaned, path, day_col=day_col)
+        writers.rebuild_table(clean(raw), path, partition_by=day_col, rebalance=True)
+    elif not writers.holds_day(spark, path, day, day_col):
+        # Cleaning looks at the data to find empty columns: not done in vain.
+        writers.append_new_days(clean(raw), path, day_col=day_col, day=day)
     layer = readers.read_table(spark, path)
     return quality.run_suite(layer, suites.house_suite(layer.columns, keys, day_col),
                              suite="enriched", table="house_price")
@@ -109,16 +109,18 @@ def train(spark: SparkSession, labels: DataFrame, store: DataFrame, keys: Sequen
           limit: float = 2500.0) -> tuple[int, DataFrame]:
     """Fit on the training part, evaluate on the rest, register a new version.
 
-    Returns the version and its evaluation.
+    Returns the version and its evaluation. Labels without (complete) features
+    cannot be fitted; their number is kept with the version.
     """
-    rows = features.lookup_features(labels, store, keys, keep_keys=True).na.drop()
-    rows = durable(rows)
+    looked_up = durable(features.lookup_features(labels, store, keys, keep_keys=True))
+    rows = looked_up.na.drop()
     columns = [c for c in store.columns if c not in keys]
     fit_rows, test_rows = tr.train_test_split(rows, keys)
     model = tr.fit_linear(fit_rows, columns, target)
     evaluation = durable(tr.errors(scoring.score(test_rows, model), target, limit=limit))
     row = evaluation.first()
     metrics = {m: row[m] for m in ("mse", "rmse") if row[m] is not None}
+    metrics["incomplete_rows"] = float(looked_up.count() - rows.count())
     return tr.register_model(spark, registry_path, name, model, metrics), evaluation
 
 
@@ -128,14 +130,15 @@ def score_and_append(spark: SparkSession, store: DataFrame, registry_path: str,
     """Score a day or a range with the latest model and append it once."""
     model = tr.load_latest(spark, registry_path, name)
     scored = scoring.score_days(store, model, day_col, day=day, start=start, end=end)
-    writers.append_new_days(scored, path, day_col=day_col, rebalance=day is None)
+    writers.append_new_days(scored, path, day_col=day_col, rebalance=day is None, day=day)
 
 
 def monitor_drift(store: DataFrame, training_keys: DataFrame, keys: Sequence[str],
                   indicators: Sequence[str], day, day_col: str = "Date",
                   p_val: float = 0.5) -> DataFrame:
     """Verdict: does the given day differ from the rows trained on?"""
-    reference = drift.reference_rows(store, training_keys, keys)
+    # Several passes follow; the join is done for all of them.
+    reference = durable(drift.reference_rows(store, training_keys, keys))
     today = tr.in_date_range(store, day_col, day=day)
     numeric = [c for c in store.columns if c not in (*keys, *indicators)]
     tests = drift.ks_drift(reference, today, numeric).select("feature", "p_value")
@@ -150,7 +153,7 @@ def monitor_model(spark: SparkSession, labels: DataFrame, store: DataFrame, scor
     """Do the coefficients keep their signs once scored rows are trained on as well?"""
     registered = tr.load_latest(spark, registry_path, name)
     trained = features.lookup_features(labels, store, keys, keep_keys=True)
-    rows = stability.refit_rows(trained, scored, target)
+    rows = durable(stability.refit_rows(trained, scored, target))
     fit_rows, _ = tr.train_test_split(rows, keys)
     refit = tr.fit_linear(fit_rows, registered.features, target)
     return stability.is_stable(stability.compare_signs(spark, registered, refit))

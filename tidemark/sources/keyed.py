@@ -61,8 +61,9 @@ def upsert_table(
     """Upsert ``source`` into the table at ``path``.
 
     When the partition column is part of the key, only the partitions that
-    ``source`` touches are read and rewritten.
+    ``source`` touches are read and rewritten. ``source`` is computed once.
     """
+    source = durable(source)
     require_key(source, keys, path)
     if not path_exists(spark, path, fmt):
         write_table(source, path, partition_by=partition_by, fmt=fmt)

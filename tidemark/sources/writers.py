@@ -76,12 +76,23 @@ def ingest_tables(
         list(pool.map(write, tables.items()))
 
 
-def days_present(spark: SparkSession, path: str, day_col: str,
-                 fmt: str = "parquet") -> DataFrame | None:
-    """The days that hold at least one row, or None if there is no table yet."""
+def days_present(spark: SparkSession, path: str, day_col: str, fmt: str = "parquet",
+                 first=None, last=None) -> DataFrame | None:
+    """The days, of a range if given, that hold at least one row; None if there
+    is no table yet. Other partitions than those of the range are not read."""
     if not path_exists(spark, path, fmt):
         return None
-    return durable(read_table(spark, path, fmt).select(day_col).distinct())
+    held = read_table(spark, path, fmt).select(day_col)
+    if first is not None:
+        held = held.where(F.col(day_col).between(F.lit(first), F.lit(last)))
+    return durable(held.distinct())
+
+
+def holds_day(spark: SparkSession, path: str, day: dt.date | str, day_col: str = "Date",
+              fmt: str = "parquet") -> bool:
+    """Whether the table has a row of ``day``; reads that partition only."""
+    return path_exists(spark, path, fmt) and not read_table(spark, path, fmt).where(
+        F.col(day_col) == F.lit(day)).isEmpty()
 
 
 def without_days(df: DataFrame, days: DataFrame | None, day_col: str) -> DataFrame:
@@ -100,24 +111,33 @@ def append_new_days(
     table: str | None = None,
     fmt: str = "parquet",
     rebalance: bool = False,
+    day: dt.date | str | None = None,
 ) -> None:
     """Append only the days the target does not hold, so a re-run adds nothing.
 
-    Rows take the target's columns: missing ones become null, and columns the
-    target lacks are refused by name. Check and append are two steps; run one
+    Give ``day`` if ``df`` is about a single one: if the target has it, nothing
+    is computed at all, and otherwise only that partition has been looked at.
+
+    Rows take the target's columns and types: missing columns become null, and
+    those the target lacks are refused by name. Check and append are two steps; run one
     writer per table.
     """
     spark = df.sparkSession
-    present = days_present(spark, path, day_col, fmt)
-    if present is not None:
+    if day is not None:
+        if holds_day(spark, path, day, day_col, fmt):
+            return
+        df = df.where(F.col(day_col) == F.lit(day))
+    if path_exists(spark, path, fmt):
         target = read_table(spark, path, fmt)
         extra = set(df.columns) - set(target.columns)
         if extra:
             raise ValueError(f"columns not in the target table: {sorted(extra)}")
-        fresh = without_days(df, present, day_col)
+        fresh = df
+        if day is None:
+            fresh = without_days(df, days_present(spark, path, day_col, fmt), day_col)
         missing = [f for f in target.schema.fields if f.name not in df.columns]
         fresh = fresh.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing})
-        df = fresh.select(target.columns)
+        df = fresh.select(*[F.col(f.name).cast(f.dataType) for f in target.schema.fields])
     write_table(df, path, table=table, partition_by=day_col, mode="append", fmt=fmt,
                 rebalance=rebalance)
 
@@ -154,7 +174,7 @@ def backfill_days(
     ``make_rows`` gets the missing days, a list bounded by the calendar, and
     returns their rows as one frame.
     """
-    present = days_present(spark, path, day_col, fmt)
+    present = days_present(spark, path, day_col, fmt, _as_date(start), _as_date(end))
     gaps = missing_days(calendar(spark, start, end, day_col), present, day_col)
     days = sorted(row[0] for row in gaps.collect())
     if days:
