@@ -24,7 +24,7 @@ def house(spark):
         F.element_at(F.array(F.lit("<1H OCEAN"), F.lit("INLAND"), F.lit("NEAR BAY")),
                      (F.col("id") % 3 + 1).cast("int")).alias("ocean_proximity"),
         (F.lit(1000.0) + 50 * (F.col("id") % 37) - 3 * (F.col("id") % 11)
-         + 20 * (F.col("id") % 3)).alias("median_house_value"),
+         + 20 * F.pow(F.col("id") % 3, F.lit(2))).alias("median_house_value"),
         F.lit(dt.date(2022, 11, 30)).alias("Date"),
     )
 
@@ -103,7 +103,14 @@ def test_house_price_flow(spark, house, tmp_path):
     assert table.count() == 1600
     assert build().count() == 1600
 
-    labels = house.select("house_id", "Date", "median_house_value")
+    training = str(tmp_path / "training")
+    flows.training_table(house, daily, training, KEYS, "house_id", "median_house_value")
+    assert readers.read_table(spark, training).count() == 1600
+    for _ in range(2):
+        flows.training_table(house, None, training, KEYS, "house_id", "median_house_value",
+                             mode="historical")
+    labels = readers.read_table(spark, training)
+    assert labels.count() == 400
     columns = [c for c in table.columns if c not in KEYS]
     version, evaluation = flows.train(
         spark, labels, table, KEYS, "median_house_value", models, "price")

@@ -151,6 +151,11 @@ def test_jdbc_options_split_the_read():
         readers.jdbc_options("jdbc:x", "dbo.t", None, None, 8, None)
 
 
+def test_jdbc_bounds_are_left_to_the_database():
+    assert readers.jdbc_bounds_query("dbo.t", "k") == (
+        "(SELECT MIN(k) AS low, MAX(k) AS high FROM dbo.t) bounds")
+
+
 def test_jdbc_failure_names_the_table(spark):
     with pytest.raises(RuntimeError, match="dbo.orders"):
         readers.read_jdbc(spark, "jdbc:nowhere:x", "orders")

@@ -84,26 +84,31 @@ def _totals_sql(keys) -> str:
             f"from lines group by {', '.join(keys)}")
 
 
+def _in_units(df: DataFrame, prefix: str = "") -> DataFrame:
+    """Cents as an amount with two decimals."""
+    return df.withColumns({prefix + m: F.col(prefix + m) / 100.0 for m in _MONEY})
+
+
 def _cube(spark, sf_dir) -> DataFrame:
     return sales.sales_totals(sales.sales_lines(**sales_star(spark, sf_dir)))
 
 
 @query(_totals_sql(sales.CUBE_KEYS))
 def sales_curated(spark, sf_dir):
-    return rounded(_cube(spark, sf_dir), 2, *[f"total_{m}" for m in _MONEY])
+    return _in_units(_cube(spark, sf_dir), "total_")
 
 
 @query(_totals_sql(("year", "brand", "source")))
 def sales_by_brand(spark, sf_dir):
     lines = sales.sales_lines(**sales_star(spark, sf_dir))
     totals = sales.sales_totals(lines, ["year", "brand", "source"])
-    return rounded(totals, 2, *[f"total_{m}" for m in _MONEY])
+    return _in_units(totals, "total_")
 
 
 @query(_LINES_SQL + "select * replace (" + ", ".join(
     f"round(cast({m} as double), 2) as {m}" for m in _MONEY) + ") from lines")
 def sales_lines(spark, sf_dir):
-    return rounded(sales.sales_lines(**sales_star(spark, sf_dir)), 2, *_MONEY)
+    return _in_units(sales.sales_lines(**sales_star(spark, sf_dir)))
 
 
 # ------------------------------------------------- reading and writing tables
@@ -593,9 +598,8 @@ _DRIFT_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
 def _before_after(df: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
-    split = F.lit(_SINCE).cast("date")
-    day = F.col(column).cast("date")
-    return df.where(day < split), df.where(day >= split)
+    split = F.lit(_SINCE).cast("timestamp_ntz")
+    return df.where(F.col(column) < split), df.where(F.col(column) >= split)
 
 
 _KS_SQL = f"""

@@ -14,6 +14,33 @@ from tidemark.operators.cleaning import clean, drop_duplicate_keys
 from tidemark.sources import keyed, readers, writers
 
 
+# The tables of the sales source.
+SALES_TABLES = (
+    "income_band", "warehouse", "ship_mode", "reason", "call_center", "store", "web_page",
+    "web_site", "promotion", "household_demographics", "catalog_page", "item", "time_dim",
+    "customer_address", "web_returns", "date_dim", "customer", "catalog_returns",
+    "store_returns", "customer_demographics", "web_sales", "inventory", "catalog_sales",
+    "store_sales",
+)
+
+
+def sales_source(spark: SparkSession, url: str, tables: Sequence[str] = SALES_TABLES, *,
+                 split: Mapping[str, str] | None = None, partitions: int = 1,
+                 options: dict[str, str] | None = None) -> dict[str, DataFrame]:
+    """The source tables; those with a column in ``split`` over several connections."""
+    frames = {}
+    for name in tables:
+        column = (split or {}).get(name)
+        if column is None:
+            frames[name] = readers.read_jdbc(spark, url, name, options=options)
+        else:
+            bounds = readers.jdbc_bounds(spark, url, name, column, options=options)
+            frames[name] = readers.read_jdbc(
+                spark, url, name, split_column=column, bounds=bounds, partitions=partitions,
+                options=options)
+    return frames
+
+
 def sales_raw(tables: Mapping[str, DataFrame], root: str, run_date=None,
               database: str | None = None) -> None:
     """Ingest source tables (``read_jdbc`` or files) into the raw layer."""
@@ -104,6 +131,15 @@ def build_features(spark: SparkSession, historical: DataFrame, daily: DataFrame,
     keyed.upsert_table(spark, store_path, built, keys, partition_by=day_col)
 
 
+def training_table(historical: DataFrame, daily: DataFrame | None, path: str,
+                   keys: Sequence[str], id_col: str, target: str, *, mode: str = "all",
+                   day_col: str = "Date", start=None, end=None) -> None:
+    """Assemble the labels to train on and overwrite the training table."""
+    labels = tr.training_labels(historical, daily, keys, id_col, target, mode=mode,
+                                day_col=day_col, start=start, end=end)
+    writers.write_table(labels, path, partition_by=day_col, rebalance=True)
+
+
 def train(spark: SparkSession, labels: DataFrame, store: DataFrame, keys: Sequence[str],
           target: str, registry_path: str, name: str,
           limit: float = 2500.0) -> tuple[int, DataFrame]:

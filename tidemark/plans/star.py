@@ -15,33 +15,36 @@ from tidemark.sources.writers import stamp
 
 RUN_DATE = "2024-02-01"
 
-# Eight digits: the sum of such a column still fits the JVM's compact decimals.
-MONEY = "decimal(8,2)"
-
-
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _fact(lines: DataFrame, outlet_key: Column, channel: Channel) -> DataFrame:
-    def part_of(price: Column, rate: Column) -> Column:
-        return (price * rate.cast("decimal(3,2)")).cast(MONEY)
+def _cents(amount: str) -> Column:
+    return F.rint(F.col(amount) * 100).cast("long")
+
 
-    price = F.col("l_extendedprice").cast(MONEY)
-    tax, coupon = part_of(price, F.col("l_tax")), part_of(price, F.col("l_discount"))
-    net_paid = (price - coupon).cast(MONEY)
+def _percent_of(cents: Column, percent: Column) -> Column:
+    """Part of an amount, rounded half up to a cent."""
+    return F.floor((cents * percent + 50) / 100)
+
+
+def _fact(lines: DataFrame, outlet_key: Column, channel: Channel) -> DataFrame:
+    """Fact rows with whole cents: exact in any order, and summed as longs."""
+    price = _cents("l_extendedprice")
+    tax = _percent_of(price, _cents("l_tax"))
+    coupon = _percent_of(price, _cents("l_discount"))
     columns = {
         "sold_date_sk": F.col("l_orderkey"),
         "item_sk": F.col("l_partkey"),
         channel.outlet_key: outlet_key,
         "quantity": F.col("l_quantity").cast("int"),
-        "ext_wholesale_cost": part_of(price, F.lit("0.75")),
+        "ext_wholesale_cost": _percent_of(price, F.lit(75)),
         "ext_list_price": price,
-        "ext_ship_cost": part_of(price, F.lit("0.05")),
+        "ext_ship_cost": _percent_of(price, F.lit(5)),
         "ext_tax": tax,
         "coupon_amt": coupon,
-        "net_paid": net_paid,
-        "net_paid_inc_tax": (net_paid + tax).cast(MONEY),
+        "net_paid": price - coupon,
+        "net_paid_inc_tax": price - coupon + tax,
     }
     if not channel.ships:
         del columns["ext_ship_cost"]
@@ -50,7 +53,7 @@ def _fact(lines: DataFrame, outlet_key: Column, channel: Channel) -> DataFrame:
 
 
 def sales_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The six tables ``sales_lines`` joins."""
+    """The six tables ``sales_lines`` joins; amounts in cents."""
     lines, orders = load(spark, sf_dir, "lineitem"), load(spark, sf_dir, "orders")
     supplier = load(spark, sf_dir, "supplier")
     web_lines = lines.where(F.col("l_linestatus") == "O").join(

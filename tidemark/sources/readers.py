@@ -76,6 +76,20 @@ def jdbc_options(url, name, split_column, bounds, partitions, options) -> dict[s
     return result
 
 
+def jdbc_bounds_query(table: str, column: str) -> str:
+    """The subquery with the ends of a split column, to be read as a table."""
+    return f"(SELECT MIN({column}) AS low, MAX({column}) AS high FROM {table}) bounds"
+
+
+def jdbc_bounds(spark: SparkSession, url: str, table: str, column: str, *,
+                schema: str = "dbo", options: dict[str, str] | None = None) -> tuple:
+    """Ends of ``column``, computed by the database, for a split read."""
+    name = f"{schema}.{table}" if schema else table
+    row = read_jdbc(spark, url, jdbc_bounds_query(name, column), schema="",
+                    options=options).first()
+    return row[0], row[1]
+
+
 def inline_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
     """A frame from a few constant rows."""
     return spark.createDataFrame(list(rows), schema)
