@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from tidemark.durable import durable
 from tidemark.sources.writers import without_days
 
-# Every category becomes a column; beyond this a table is no longer wide but
-# mis-modelled, and the caller is told so.
+# Every category becomes a column; more than this many have to be asked for, in
+# case a key was taken for a category.
 MAX_CATEGORIES = 1_000
 
 
@@ -48,14 +48,14 @@ def categories_of(df: DataFrame, column: str, limit: int = MAX_CATEGORIES) -> li
 
 
 def one_hot(df: DataFrame, column: str, target: str | None = None,
-            categories: Sequence | None = None) -> DataFrame:
+            categories: Sequence | None = None, max_categories: int = MAX_CATEGORIES) -> DataFrame:
     """Replace a categorical column by 0/1 columns and drop the target.
 
     Give ``categories`` to fix the columns; otherwise they are the values found.
     A null category has 0 in every indicator.
     """
     if categories is None:
-        categories = categories_of(df, column)
+        categories = categories_of(df, column, max_categories)
     rest = [c for c in df.columns if c not in (column, target)]
     names = [*map(clean_name, rest), *[clean_name(str(v)) for v in categories]]
     twice = sorted({n for n in names if names.count(n) > 1})

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import hash_percent
-from tidemark.sources.readers import path_exists, read_table
+from tidemark.sources.readers import read_if_exists, read_table
 
 REGISTRY_SCHEMA = (
     "model string, version int, intercept double, coefficients array<double>, "
@@ -183,10 +183,10 @@ def latest_versions(registry: DataFrame) -> DataFrame:
 
 def next_version(spark: SparkSession, path: str, name: str) -> int:
     """The version a new model of this name gets."""
-    if not path_exists(spark, path):
+    registry = read_if_exists(spark, path)
+    if registry is None:
         return 1
-    known = read_table(spark, path).where(F.col("model") == name)
-    top = latest_versions(known).collect()
+    top = latest_versions(registry.where(F.col("model") == name)).collect()
     return top[0]["version"] + 1 if top else 1
 
 

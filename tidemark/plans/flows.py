@@ -119,8 +119,7 @@ def build_features(spark: SparkSession, historical: DataFrame, daily: DataFrame,
     rows checks the table.
     """
     combined = features.combine_by_name(historical, daily)
-    existing = (readers.read_table(spark, features_path)
-                if readers.path_exists(spark, features_path) else None)
+    existing = readers.read_if_exists(spark, features_path)
     fresh = features.new_days_only(combined, existing, day_col)
     encoded = features.one_hot(fresh, category, target, categories)
     built = durable(drop_duplicate_keys(encoded, list(keys)))

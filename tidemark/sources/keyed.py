@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.durable import broadcast_within, durable, scratch_path
 from tidemark.operators.quality import NotNull, Unique, require_passed, run_suite
-from tidemark.sources.readers import path_exists, read_table
+from tidemark.sources.readers import read_if_exists, read_table
 from tidemark.sources.writers import rebuild_table, write_table
 
 
@@ -65,10 +65,10 @@ def upsert_table(
     """
     source = durable(source)
     require_key(source, keys, path)
-    if not path_exists(spark, path, fmt):
+    target = read_if_exists(spark, path, fmt)
+    if target is None:
         write_table(source, path, partition_by=partition_by, fmt=fmt)
         return
-    target = read_table(spark, path, fmt)
     if partition_by not in keys:
         rebuild_table(upsert_by_key(target, source, keys), path,
                       partition_by=partition_by, fmt=fmt, reads_target=True)

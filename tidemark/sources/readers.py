@@ -100,16 +100,24 @@ def preview(df: DataFrame, n: int = 20, order_by: Sequence[str] = ()) -> DataFra
     return (df.orderBy(*order_by) if order_by else df).limit(n)
 
 
-def path_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
-    """Whether ``path`` holds a readable table; other failures propagate."""
+def read_if_exists(spark: SparkSession, path: str, fmt: str = "parquet",
+                   **options) -> DataFrame | None:
+    """The table at ``path``, or None if nothing is there; other failures propagate.
+
+    Opening a table lists its files, so callers keep the frame they get.
+    """
     try:
-        read_table(spark, path, fmt)
+        return read_table(spark, path, fmt, **options)
     except AnalysisException as error:
         # The two "nothing there" conditions; anything else is a real failure.
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return False
+            return None
         raise
-    return True
+
+
+def path_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
+    """Whether ``path`` holds a readable table."""
+    return read_if_exists(spark, path, fmt) is not None
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:

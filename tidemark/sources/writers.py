@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.durable import broadcast_within, durable, scratch_path
-from tidemark.sources.readers import path_exists, read_table
+from tidemark.sources.readers import read_if_exists, read_table
+
+FILE_FORMATS = ("parquet", "orc", "json", "csv", "text")
 
 
 def stamp(df: DataFrame, run_date: dt.date | str | None = None,
@@ -76,13 +78,13 @@ def ingest_tables(
         list(pool.map(write, tables.items()))
 
 
-def days_present(spark: SparkSession, path: str, day_col: str, fmt: str = "parquet",
-                 first=None, last=None) -> DataFrame | None:
-    """The days, of a range if given, that hold at least one row; None if there
-    is no table yet. Other partitions than those of the range are not read."""
-    if not path_exists(spark, path, fmt):
+def days_present(table: DataFrame | None, day_col: str, first=None,
+                 last=None) -> DataFrame | None:
+    """The days, of a range if given, that hold at least one row; None without a
+    table. Other partitions than those of the range are not read."""
+    if table is None:
         return None
-    held = read_table(spark, path, fmt).select(day_col)
+    held = table.select(day_col)
     if first is not None:
         held = held.where(F.col(day_col).between(F.lit(first), F.lit(last)))
     return durable(held.distinct())
@@ -90,9 +92,17 @@ def days_present(spark: SparkSession, path: str, day_col: str, fmt: str = "parqu
 
 def holds_day(spark: SparkSession, path: str, day: dt.date | str, day_col: str = "Date",
               fmt: str = "parquet") -> bool:
-    """Whether the table has a row of ``day``; reads that partition only."""
-    return path_exists(spark, path, fmt) and not read_table(spark, path, fmt).where(
-        F.col(day_col) == F.lit(day)).isEmpty()
+    """Whether the table partitioned by day has a row of ``day``.
+
+    Opens the directory of that day only, where the format has directories;
+    listing a long-lived table takes longer than most days' work.
+    """
+    if fmt in FILE_FORMATS:
+        rows = read_if_exists(spark, f"{path}/{day_col}={day}", fmt)
+    else:
+        rows = read_if_exists(spark, path, fmt)
+        rows = rows if rows is None else rows.where(F.col(day_col) == F.lit(day))
+    return rows is not None and not rows.isEmpty()
 
 
 def without_days(df: DataFrame, days: DataFrame | None, day_col: str) -> DataFrame:
@@ -127,14 +137,14 @@ def append_new_days(
         if holds_day(spark, path, day, day_col, fmt):
             return
         df = df.where(F.col(day_col) == F.lit(day))
-    if path_exists(spark, path, fmt):
-        target = read_table(spark, path, fmt)
+    target = read_if_exists(spark, path, fmt)
+    if target is not None:
         extra = set(df.columns) - set(target.columns)
         if extra:
             raise ValueError(f"columns not in the target table: {sorted(extra)}")
         fresh = df
         if day is None:
-            fresh = without_days(df, days_present(spark, path, day_col, fmt), day_col)
+            fresh = without_days(df, days_present(target, day_col), day_col)
         missing = [f for f in target.schema.fields if f.name not in df.columns]
         fresh = fresh.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing})
         df = fresh.select(*[F.col(f.name).cast(f.dataType) for f in target.schema.fields])
@@ -174,7 +184,8 @@ def backfill_days(
     ``make_rows`` gets the missing days, a list bounded by the calendar, and
     returns their rows as one frame.
     """
-    present = days_present(spark, path, day_col, fmt, _as_date(start), _as_date(end))
+    present = days_present(
+        read_if_exists(spark, path, fmt), day_col, _as_date(start), _as_date(end))
     gaps = missing_days(calendar(spark, start, end, day_col), present, day_col)
     days = sorted(row[0] for row in gaps.collect())
     if days:
