@@ -71,6 +71,24 @@ def _edges(wide: DataFrame, names: Sequence[str], buckets: int) -> list[list[flo
     return [[-math.inf, *edges, math.inf] for edges in inner]
 
 
+def _cells(wide: DataFrame, edges: dict[str, list[float]]) -> DataFrame:
+    """One row per value that is a number, with its feature and bucket."""
+    names = list(edges)
+    bucketed = Bucketizer(
+        splitsArray=list(edges.values()),
+        inputCols=names,
+        outputCols=[f"_b{i}" for i in range(len(names))],
+        handleInvalid="keep",
+    ).transform(wide.select("in_ref", *names))
+    cells = [
+        F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").alias("value"),
+                 F.col(f"_b{i}").cast("int").alias("bucket"))
+        for i, c in enumerate(names)
+    ]
+    return bucketed.select("in_ref", F.inline(F.array(*cells))).where(
+        F.col("value").isNotNull() & ~F.isnan("value"))
+
+
 def ks_drift(reference: DataFrame, test: DataFrame, features: Sequence[str],
              buckets: int = BUCKETS, window_rows: int = WINDOW_ROWS) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov test per numeric feature.
@@ -83,19 +101,8 @@ def ks_drift(reference: DataFrame, test: DataFrame, features: Sequence[str],
     """
     names = list(features)
     wide = _both(reference, test, [F.col(c).cast("double").alias(c) for c in names])
-    bucketed = Bucketizer(
-        splitsArray=_edges(wide, names, buckets),
-        inputCols=names,
-        outputCols=[f"_b{i}" for i in range(len(names))],
-        handleInvalid="keep",
-    ).transform(wide)
-    cells = [
-        F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").alias("value"),
-                 F.col(f"_b{i}").cast("int").alias("bucket"))
-        for i, c in enumerate(names)
-    ]
-    long = bucketed.select("in_ref", F.inline(F.array(*cells))).where(
-        F.col("value").isNotNull() & ~F.isnan("value"))
+    edges = dict(zip(names, _edges(wide, names, buckets)))
+    long = _cells(wide, edges)
 
     # At most features x buckets rows.
     coarse = durable(long.groupBy("feature", "bucket").agg(
@@ -123,9 +130,13 @@ def ks_drift(reference: DataFrame, test: DataFrame, features: Sequence[str],
     )
 
     found = ends.select("feature", "n_ref", "n_test", "gap")
-    largest = starts.agg(F.max("size")).first()[0]
-    if largest is not None:
-        found = found.unionByName(_gaps_inside(long, starts, sliced=largest > window_rows))
+    largest = {r["feature"]: r["size"] for r in starts.groupBy("feature").agg(
+        F.max("size").alias("size")).collect()}
+    if largest:
+        # Columns of features that are settled are not read again.
+        long = _cells(wide, {c: edges[c] for c in names if c in largest})
+        sliced = max(largest.values()) > window_rows
+        found = found.unionByName(_gaps_inside(long, starts, sliced))
     tested = found.groupBy("feature").agg(
         F.max("n_ref").alias("n_ref"), F.max("n_test").alias("n_test"),
         F.max("gap").alias("gap"))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.durable import scratch_path
-from tidemark.functions.columns import sign_flags
+from tidemark.functions import columns
 from tidemark.operators import (
     cleaning,
     drift,
@@ -40,8 +40,8 @@ def query(sql: str) -> Callable[[Query], Query]:
     return register
 
 
-def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
-    return df.withColumns({c: F.round(F.col(c).cast("double"), digits) for c in columns})
+def rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
+    return df.withColumns({c: F.round(F.col(c).cast("double"), digits) for c in names})
 
 
 # ------------------------------------------------------------------ sales
@@ -709,17 +709,15 @@ def refit_with_scores(spark, sf_dir):
 
 @query("select c_custkey, (c_acctbal > 0)::int as balance_flag, "
        "(c_acctbal > 5000)::int as above_flag, 0 as zero_flag from customer")
-def sign_flags_(spark, sf_dir):
+def sign_flags(spark, sf_dir):
     values = F.array(F.col("c_acctbal"), F.col("c_acctbal") - 5000, F.lit(0.0))
-    flags = load(spark, sf_dir, "customer").select("c_custkey", sign_flags(values).alias("f"))
+    flags = load(spark, sf_dir, "customer").select(
+        "c_custkey", columns.sign_flags(values).alias("f"))
     return flags.select(
         "c_custkey", F.col("f")[0].alias("balance_flag"), F.col("f")[1].alias("above_flag"),
         F.col("f")[2].alias("zero_flag"))
 
 
-QUERIES["sign_flags"] = QUERIES.pop("sign_flags_")
-SQL["sign_flags"] = SQL.pop("sign_flags_")
-
 _SIGNS_SQL = f"""
 with {_REFIT_SQL}, a as {_ols_sql('lineitem')}, b as {_ols_sql('refit_rows', 'y')},
 signs as (select 'l_quantity' as feature, (a.b1 > 0)::int as registered_flag,
