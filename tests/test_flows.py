@@ -209,6 +209,10 @@ def test_sales_checks_are_recorded(spark, tmp_path):
     assert found["not_null", "ws_net_profit"]["threshold"] == "mostly=0.9"
     assert not found["not_null", "ws_net_profit"]["success"]
     assert found["value_length", "ws_promo_sk"]["success"]
+    with pytest.raises(GateError, match="not_null on ws_order_number"):
+        flows.sales_checks(spark, str(tmp_path), ["web_sales"], "raw", str(tmp_path / "results"),
+                           gate=True)
+    assert spark.read.parquet(str(tmp_path / "results")).count() == 10
 
 
 def test_totals_by_other_keys(spark):

@@ -78,10 +78,11 @@ def test_a_type_failure_gates_features(spark):
 
 def test_results_are_kept(spark, keys, tmp_path):
     path = str(tmp_path / "results")
-    for _ in range(2):
-        q.record_results(q.run_suite(keys, [q.RowCount(7)], suite="s", table="t"), path)
-    assert spark.read.parquet(path).columns == list(q.RESULT_COLUMNS)
-    assert spark.read.parquet(path).count() == 2
+    for day in ("2024-02-01", "2024-02-02"):
+        q.record_results(q.run_suite(keys, [q.RowCount(7)], suite="s", table="t"), path, day)
+    kept = spark.read.parquet(path)
+    assert kept.columns == [*q.RESULT_COLUMNS, "run_date"]
+    assert sorted(r["run_date"] for r in kept.collect()) == [dt.date(2024, 2, 1), dt.date(2024, 2, 2)]
 
 
 def test_hot_key_is_combined_before_the_shuffle(spark):

@@ -7,6 +7,7 @@ one row per rule.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import percent, text_length
+from tidemark.sources.writers import stamp
 
 RESULT_COLUMNS = (
     "suite", "table", "rule", "column", "severity", "element_count",
@@ -266,6 +268,8 @@ def require_passed(results: DataFrame) -> None:
         ])
 
 
-def record_results(results: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Append results to the table of check results."""
-    results.coalesce(1).write.format(fmt).mode("append").save(path)
+def record_results(results: DataFrame, path: str, run_date: dt.date | str | None = None,
+                   fmt: str = "parquet") -> None:
+    """Append results, with the date of the run, to the table of check results."""
+    stamped = stamp(results, run_date, "run_date")
+    stamped.coalesce(1).write.format(fmt).mode("append").save(path)

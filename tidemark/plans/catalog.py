@@ -542,13 +542,13 @@ with marked as (select *, {_SPLIT_SQL} as split from lineitem),
 fit as {_ols_sql("(select * from marked where split = 'train')")},
 scored as (select avg((l_extendedprice - (my + b1 * (l_quantity - m1) + b2 * (l_discount - m2))) ** 2)
   as mse from marked, fit where split = 'test')
-select round(mse, 2) as mse, round(sqrt(mse), 4) as rmse, sqrt(mse) < 2500 as accepted from scored
+select round(mse, 0) as mse, round(sqrt(mse), 4) as rmse, sqrt(mse) < 2500 as accepted from scored
 """)
 def eval_mse_rmse(spark, sf_dir):
     train, test = training.train_test_split(_fit_rows(spark, sf_dir), _LINE_KEYS)
     model = training.fit_linear(train, _TERMS, "l_extendedprice")
     result = training.errors(scoring.score(test, model), "l_extendedprice")
-    return rounded(rounded(result, 2, "mse"), 4, "rmse")
+    return rounded(rounded(result, 0, "mse"), 4, "rmse")
 
 
 @query("""
@@ -845,20 +845,20 @@ def dq_schema(spark, sf_dir):
     return quality.run_suite(_cube(spark, sf_dir), rules, suite="curated", table="sales")
 
 
-@query(_with_dirty(
+@query(f"with {_DIRTY_SQL} select date '{RUN_DATE}' as run_date, * from (" + " union all ".join([
     *_NULL_CHECKS, *_LENGTH_CHECKS,
     _unique_check("lineitem", "l_orderkey,l_linenumber", "ERROR", "dirty"),
     _check_sql("orders", "orders", "not_null", "o_custkey", "ERROR", "mostly=1.0", "count(*)",
                "count(*) - count(o_custkey)", "u = 0", "orders"),
-    _unique_check("orders", "o_orderkey", "WARN", "orders", "orders")))
+    _unique_check("orders", "o_orderkey", "WARN", "orders", "orders")]) + ")")
 def dq_suite(spark, sf_dir):
     path = scratch_path(spark, "results")
     quality.record_results(_run(
         spark, sf_dir, quality.NotNull("l_orderkey"), quality.NotNull("l_linenumber"),
         quality.ValueLength("l_partkey", 1, 3), quality.ValueLength("l_linenumber", 0, 1),
-        quality.Unique(tuple(_LINE_KEYS), severity="ERROR")), path)
+        quality.Unique(tuple(_LINE_KEYS), severity="ERROR")), path, RUN_DATE)
     quality.record_results(quality.run_suite(
         load(spark, sf_dir, "orders"),
         [quality.NotNull("o_custkey"), quality.Unique(("o_orderkey",))],
-        suite="orders", table="orders"), path)
+        suite="orders", table="orders"), path, RUN_DATE)
     return readers.read_table(spark, path)

@@ -69,13 +69,19 @@ def sales_curated(spark: SparkSession, enriched_root: str, path: str,
 
 
 def sales_checks(spark: SparkSession, root: str, tables: Sequence[str], suite: str,
-                 results_path: str) -> None:
-    """Run the shipped suites on a layer and record their results."""
+                 results_path: str, run_date=None, gate: bool = False) -> None:
+    """Run the shipped suites on a layer and record their results.
+
+    Failures are on record only, unless ``gate`` is set: then the first table
+    with a failed rule stops the job.
+    """
     for name in tables:
-        checked = quality.run_suite(
+        checked = durable(quality.run_suite(
             readers.read_table(spark, f"{root}/{name}"), suites.SALES_SUITES[name],
-            suite=suite, table=name)
-        quality.record_results(checked, results_path)
+            suite=suite, table=name))
+        quality.record_results(checked, results_path, run_date)
+        if gate:
+            quality.require_passed(checked)
 
 
 def house_raw(spark: SparkSession, historical: DataFrame, path: str, start, end=None, *,
