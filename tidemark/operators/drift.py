@@ -6,6 +6,8 @@ import math
 from collections.abc import Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -71,41 +73,81 @@ def _edges(wide: DataFrame, names: Sequence[str], buckets: int) -> list[list[flo
     return [[-math.inf, *edges, math.inf] for edges in inner]
 
 
-def _cells(wide: DataFrame, edges: dict[str, list[float]]) -> DataFrame:
-    """One row per value that is a number, with its feature and bucket."""
+def _melt(wide: DataFrame, cells: dict[str, dict[str, Column]]) -> DataFrame:
+    """One row per value that is a number, with its feature and ``cells``."""
+    rows = [
+        F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").alias("value"),
+                 *[column.alias(name) for name, column in more.items()])
+        for c, more in cells.items()
+    ]
+    return wide.select("in_ref", F.inline(F.array(*rows))).where(
+        F.col("value").isNotNull() & ~F.isnan("value"))
+
+
+def _bucketed(wide: DataFrame, edges: dict[str, list[float]]) -> DataFrame:
+    """The values of the features in ``edges``, with their buckets."""
     names = list(edges)
+    outputs = {c: f"_b{i}" for i, c in enumerate(names)}
     bucketed = Bucketizer(
-        splitsArray=list(edges.values()),
-        inputCols=names,
-        outputCols=[f"_b{i}" for i in range(len(names))],
+        splitsArray=list(edges.values()), inputCols=names, outputCols=list(outputs.values()),
         handleInvalid="keep",
     ).transform(wide.select("in_ref", *names))
-    cells = [
-        F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").alias("value"),
-                 F.col(f"_b{i}").cast("int").alias("bucket"))
-        for i, c in enumerate(names)
-    ]
-    return bucketed.select("in_ref", F.inline(F.array(*cells))).where(
-        F.col("value").isNotNull() & ~F.isnan("value"))
+    return _melt(bucketed, {c: {"bucket": F.col(o).cast("int")} for c, o in outputs.items()})
 
 
 def ks_drift(reference: DataFrame, test: DataFrame, features: Sequence[str],
              buckets: int = BUCKETS, window_rows: int = WINDOW_ROWS) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov test per numeric feature.
 
-    The statistic is exact, but only a sliver of the data is ever sorted. Both
-    samples are counted in buckets; that gives the gap of the distribution
-    functions at every bucket end, and a bound on it inside every bucket. Only
-    buckets that could hold a larger gap than the best one seen are looked at
-    value by value. Nulls and NaN are left out.
+    The statistic is exact. Samples that are counted to fit into one task are
+    ordered as they are; of larger ones only a sliver is ever sorted, see
+    ``_gaps_by_bucket``. Nulls and NaN are left out.
     """
     names = list(features)
     wide = _both(reference, test, [F.col(c).cast("double").alias(c) for c in names])
-    edges = dict(zip(names, _edges(wide, names, buckets)))
-    long = _cells(wide, edges)
+    if wide.count() <= window_rows:
+        found = _gaps_directly(wide, names)
+    else:
+        found = _gaps_by_bucket(wide, names, buckets, window_rows)
+    tested = found.groupBy("feature").agg(
+        F.max("n_ref").alias("n_ref"), F.max("n_test").alias("n_test"),
+        F.max("gap").alias("gap"))
+    # One empty sample leaves nothing to compare: no gap, no drift.
+    statistic = F.coalesce("gap", F.lit(0.0))
+    return tested.select(
+        "feature", "n_ref", "n_test", statistic.alias("statistic"),
+        ks_p_value(statistic, F.col("n_ref"), F.col("n_test")).alias("p_value"),
+    )
+
+
+def _gaps_directly(wide: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Largest gap per feature, each feature in one task."""
+    counted = _melt(wide, {c: {} for c in names}).groupBy("feature", "value").agg(*_sizes())
+
+    def largest_gap(table):
+        order = np.argsort(table["value"].to_numpy())
+        upto = [np.cumsum(table[c].to_numpy()[order]) for c in ("ref", "test")]
+        sizes = [int(u[-1]) for u in upto]
+        gap = np.abs(upto[0] / sizes[0] - upto[1] / sizes[1]).max() if all(sizes) else None
+        return pa.table({"feature": table["feature"][:1], "n_ref": [sizes[0]],
+                         "n_test": [sizes[1]], "gap": pa.array([gap], pa.float64())})
+
+    return counted.groupBy("feature").applyInArrow(
+        largest_gap, "feature string, n_ref long, n_test long, gap double")
+
 
+def _gaps_by_bucket(wide: DataFrame, names: Sequence[str], buckets: int,
+                    window_rows: int) -> DataFrame:
+    """Gaps at all bucket ends, and at every value of the buckets that matter.
+
+    Both samples are counted in buckets; that gives the gap of the distribution
+    functions at every bucket end, and a bound on it inside every bucket. Only
+    buckets that could hold a larger gap than the best one seen are looked at
+    value by value.
+    """
+    edges = dict(zip(names, _edges(wide, names, buckets)))
     # At most features x buckets rows.
-    coarse = durable(long.groupBy("feature", "bucket").agg(
+    coarse = durable(_bucketed(wide, edges).groupBy("feature", "bucket").agg(
         *_sizes(), F.min("value").alias("low"), F.max("value").alias("high")))
     whole = Window.partitionBy("feature")
     upto = whole.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
@@ -128,35 +170,26 @@ def ks_drift(reference: DataFrame, test: DataFrame, features: Sequence[str],
         ref_before.alias("ref_before"), test_before.alias("test_before"),
         (F.col("ref") + F.col("test")).alias("size"),
     )
-
     found = ends.select("feature", "n_ref", "n_test", "gap")
     largest = {r["feature"]: r["size"] for r in starts.groupBy("feature").agg(
         F.max("size").alias("size")).collect()}
-    if largest:
-        # Columns of features that are settled are not read again.
-        long = _cells(wide, {c: edges[c] for c in names if c in largest})
-        sliced = max(largest.values()) > window_rows
-        found = found.unionByName(_gaps_inside(long, starts, sliced))
-    tested = found.groupBy("feature").agg(
-        F.max("n_ref").alias("n_ref"), F.max("n_test").alias("n_test"),
-        F.max("gap").alias("gap"))
-    # One empty sample leaves nothing to compare: no gap, no drift.
-    statistic = F.coalesce("gap", F.lit(0.0))
-    return tested.select(
-        "feature", "n_ref", "n_test", statistic.alias("statistic"),
-        ks_p_value(statistic, F.col("n_ref"), F.col("n_test")).alias("p_value"),
-    )
+    if not largest:
+        return found
+    # Columns of features that are settled are not read again.
+    values = _bucketed(wide, {c: edges[c] for c in names if c in largest})
+    sliced = max(largest.values()) > window_rows
+    return found.unionByName(_gaps_inside(values, starts, sliced))
 
 
-def _gaps_inside(long: DataFrame, starts: DataFrame, sliced: bool) -> DataFrame:
+def _gaps_inside(values: DataFrame, starts: DataFrame, sliced: bool) -> DataFrame:
     """Gap at every value of the buckets in ``starts``.
 
     A window takes each bucket into one task, which is fine for buckets known
     to be small; otherwise the order is cut into slices.
     """
     keys = ["feature", "bucket"]
-    values = long.join(F.broadcast(starts.select(*keys)), on=keys)
-    counted = values.groupBy(*keys, "value").agg(*_sizes())
+    wanted = values.join(F.broadcast(starts.select(*keys)), on=keys)
+    counted = wanted.groupBy(*keys, "value").agg(*_sizes())
     if sliced:
         counted = running_sums(counted, keys, ["value"], ["ref", "test"])
     else:
