@@ -56,7 +56,6 @@ class Pieces:
         n, lost = len(chunk), self.lost
         best, last = [0.0] * (n + 1), [None] * (n + 1)
         done = 0
-        plain = chunk.replace("\0", SPACE) if "\0" in chunk else chunk
         for end, (size, score, i) in self.automaton.iter(chunk):
             while done < end:  # positions no piece reaches
                 done += 1
@@ -76,7 +75,7 @@ class Pieces:
         back, at = [], n
         while at:
             size, i = last[at]
-            back.append(i if i >= 0 else plain[at - 1])
+            back.append(i if i >= 0 else chunk[at - 1])
             at -= size
         ids = array("i")
         for x in reversed(back):

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from tidemark.llm.ann import op5_ann
 from tidemark.llm.html import op4_html
 from tidemark.llm.licenses import op2_licenses
 from tidemark.llm.linededup import op9_line_dedup
 from tidemark.llm.mixing import op8_mixing
 from tidemark.llm.pieces import op1_sentencepiece
 from tidemark.llm.quality import op6_quality
+from tidemark.llm.topk import op7_topk
 from tidemark.llm.urls import op3_urls
 
 QUERIES = {
@@ -15,7 +17,9 @@ QUERIES = {
     "op2_licenses": op2_licenses,
     "op3_urls": op3_urls,
     "op4_html": op4_html,
+    "op5_ann": op5_ann,
     "op6_quality": op6_quality,
+    "op7_topk": op7_topk,
     "op8_mixing": op8_mixing,
     "op9_line_dedup": op9_line_dedup,
 }
