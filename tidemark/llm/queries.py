@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tidemark.llm.ann import op5_ann
 from tidemark.llm.html import op4_html
+from tidemark.llm.jaccard import op10_jaccard
 from tidemark.llm.licenses import op2_licenses
 from tidemark.llm.linededup import op9_line_dedup
 from tidemark.llm.mixing import op8_mixing
@@ -22,6 +23,7 @@ QUERIES = {
     "op7_topk": op7_topk,
     "op8_mixing": op8_mixing,
     "op9_line_dedup": op9_line_dedup,
+    "op10_jaccard": op10_jaccard,
 }
 
 SQL: dict[str, str] = {}

@@ -69,7 +69,9 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int, block_rows: int = 8
     """
     by = ["dim"]
     c = blocked(candidates.withColumn("dim", F.size("v")), by, block_rows, "block")
-    q = blocked(queries.withColumn("dim", F.size("v")), by, query_rows, "part")
+    # Queries may be rows of the candidates: own names keep the two sides apart.
+    asked = queries.select((F.col("vec_id") + F.lit(0)).alias("vec_id"), F.transform("v", lambda x: x).alias("v"))
+    q = blocked(asked.withColumn("dim", F.size("v")), by, query_rows, "part")
     blocks, parts = c.groupBy("dim").agg(F.first("blocks").alias("blocks")), q.groupBy("dim").agg(F.first("parts").alias("parts"))
     q = q.join(blocks, "dim").withColumn("block", F.explode(F.expr("sequence(0L, blocks - 1)")))
     c = c.join(parts, "dim").withColumn("part", F.explode(F.expr("sequence(0L, parts - 1)")))
