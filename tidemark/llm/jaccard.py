@@ -21,11 +21,19 @@ SINGLE_FROM, PAIRS_TO, RATIO_AT = 340, 471, 400  # sizes that index frequent shi
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)
 
 
+class WordCodes(dict):
+    """Hashes of words, made when first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = code = xxhash.xxh3_64_intdigest(word)
+        return code
+
+
 class Shingler:
     """Distinct 64-bit hashes of a text's word shingles, sorted."""
 
     def __init__(self, words: int) -> None:
-        self.words, self.memo = words, {}
+        self.words, self.memo = words, WordCodes()
 
     def __call__(self, text: str | None) -> np.ndarray:
         parts = [w for w in (text or "").translate(TO_LOWER).split(" ") if w]
@@ -34,12 +42,7 @@ class Shingler:
         memo, k = self.memo, min(self.words, len(parts))
         if len(memo) > 500_000:
             memo.clear()
-        codes = np.empty(len(parts), np.uint64)
-        for i, w in enumerate(parts):
-            h = memo.get(w)
-            if h is None:
-                h = memo[w] = xxhash.xxh3_64_intdigest(w)
-            codes[i] = h
+        codes = np.fromiter(map(memo.__getitem__, parts), np.uint64, len(parts))
         n = len(parts) - k + 1
         mixed = np.full(n, k, np.uint64)
         for j in range(k):
@@ -48,6 +51,11 @@ class Shingler:
         return np.unique(mixed)
 
 
+def node_of(codes: np.ndarray) -> int:
+    """One number for a set: equal sets are one node of the links."""
+    return int.from_bytes(hashlib.blake2b(codes.tobytes(), digest_size=8).digest(), "big", signed=True)
+
+
 def overlap_needed(n: np.ndarray | int, percent: int):
     """The least intersection of a set of ``n`` with any set it links to."""
     return -(-n * percent // 100)
@@ -59,8 +67,9 @@ def mean_and_frequent(docs: DataFrame, words: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle, total = Shingler(words), np.zeros(CELLS, np.int64)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                np.add.at(total, (shingle(text) % np.uint64(CELLS)).astype(np.int64), 1)
+            for at in range(0, batch.num_rows, 512):
+                held = [shingle(t) % np.uint64(CELLS) for t in batch.column(0).slice(at, 512).to_pylist()]
+                total += np.bincount(np.concatenate(held).astype(np.int64), minlength=CELLS)
         at = np.flatnonzero(total)
         for i in range(0, len(at), 65_536):
             part = at[i : i + 65_536]
@@ -76,7 +85,7 @@ def mean_and_frequent(docs: DataFrame, words: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, words: int, percent: int, table) -> DataFrame:
-    """``doc_id, n, sig, rare, often``: set size, digest of the set, and its extended prefix.
+    """``doc_id, n, node, rare, often``: set size, hash of the set, and its extended prefix.
 
     The order is by class, rare first, then by hash. The prefix is one longer than
     a shared shingle needs, so linked sets share two of it (or all they have).
@@ -93,22 +102,22 @@ def signatures(docs: DataFrame, words: int, percent: int, table) -> DataFrame:
                 for text in part.column(1).to_pylist():
                     s = shingle(text)
                     sizes.append(len(s))
-                    sigs.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
+                    sigs.append(node_of(s) if len(s) else None)
                     hot = frequent[(s % np.uint64(CELLS)).astype(np.int64)]
                     length = len(s) - overlap_needed(len(s), percent) + 2
                     cold = s[~hot][:length]
                     rare.append(cold.view(np.int64))
                     often.append(s[hot][: length - len(cold)].view(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(sizes, pa.int64()), pa.array(sigs, pa.binary()),
+                    [part.column(0), pa.array(sizes, pa.int64()), pa.array(sigs, pa.int64()),
                      pa.array(rare, pa.list_(pa.int64())), pa.array(often, pa.list_(pa.int64()))],
-                    ["doc_id", "n", "sig", "rare", "often"])
+                    ["doc_id", "n", "node", "rare", "often"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, sig binary, rare array<long>, often array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, node long, rare array<long>, often array<long>")
 
 
 def postings(reps: DataFrame) -> DataFrame:
-    """``key, rep, n``: rare shingles of a prefix singly; frequent ones by pairs, in long sets singly.
+    """``key, node, n``: rare shingles of a prefix singly; frequent ones by pairs, in long sets singly.
 
     Linked sets share two shingles of their prefixes. If one is rare, it is a key
     of both; else the pair is. A long set would have too many pairs: from
@@ -123,55 +132,68 @@ def postings(reps: DataFrame) -> DataFrame:
         F.col("rare"), F.when(n < PAIRS_TO, F.concat(pairs, F.when(n <= 1, short_alone).otherwise(F.array().cast("array<long>"))))
         .otherwise(F.array().cast("array<long>")),
         F.when(n > SINGLE_FROM, often).otherwise(F.array().cast("array<long>")))
-    return reps.select(F.explode(F.array_distinct(keys)).alias("key"), "rep", "n")
+    return reps.select(F.explode(F.array_distinct(keys)).alias("key"), "node", "n")
 
 
-def sets_of(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
-    """``rep, codes``: the whole shingle sets of the documents in ``ids``, made again from their texts."""
+def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Those of ``pairs`` (``member, pivot``) that link by their whole sets, as ``a, b``.
+
+    Texts are smaller than their sets, so texts travel and sets are made again.
+    The member's text comes first: a pivot's is then met where its rows are, not sent with each.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingle = Shingler(words)
+        shingle, held, of = Shingler(words), None, None
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                codes = [shingle(t).tobytes() for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(codes, pa.binary())], ["rep", "codes"])
-
-    rows = docs.select("doc_id", "text").join(ids.select(F.col("rep").alias("doc_id")).distinct(), "doc_id")
-    return rows.select("doc_id", "text").mapInArrow(run, "rep long, codes binary").dropDuplicates(["rep"])
-
-
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of ``pairs`` (``a, b``) that link by their whole sets."""
+                keep = []
+                for pivot, mine, theirs in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), part.column(3)):
+                    if of != pivot:
+                        held, of = shingle(theirs.as_py()), pivot
+                    own = shingle(mine)
+                    both = len(np.intersect1d(own, held, assume_unique=True))
+                    keep.append(100 * both >= percent * (len(own) + len(held) - both))
+                yield pa.RecordBatch.from_arrays(part.columns[:2], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    left = sets.select(F.col("rep").alias("a"), F.col("codes").alias("ca"))
-    right = sets.select(F.col("rep").alias("b"), F.col("codes").alias("cb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "ca", "cb").mapInArrow(run, "a long, b long")
+    left = texts.select(F.col("node").alias("member"), F.col("text").alias("mine"))
+    right = texts.select(F.col("node").alias("pivot"), F.col("text").alias("theirs"))
+    met = pairs.join(left, "member").join(right, "pivot").select("member", "pivot", "mine", "theirs")
+    return met.mapInArrow(run, "a long, b long")
 
 
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """``rep, comp``: the smallest node reachable; labels fall to the smallest neighbour's, then jump."""
+    """``node, comp``: the smallest node reachable; labels fall to the smallest neighbour's, then jump."""
+    if links.isEmpty():
+        return nodes.select("node", F.col("node").alias("comp"))
     both = durable(links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    ends = both.select(F.col("a").alias("rep")).distinct()
-    label = durable(ends.withColumn("comp", F.col("rep")))
+    ends = both.select(F.col("a").alias("node")).distinct()
+    label = durable(ends.withColumn("comp", F.col("node")))
     while True:
-        near = both.join(label.select(F.col("rep").alias("b"), "comp"), "b").groupBy(F.col("a").alias("rep")).agg(F.min("comp").alias("near"))
-        low = label.join(near, "rep").select("rep", F.col("comp").alias("old"), F.least("comp", "near").alias("mid"))
-        jump = label.select(F.col("rep").alias("mid"), F.col("comp").alias("far"))
-        new = durable(low.join(jump, "mid").select("rep", "old", F.least("mid", "far").alias("comp")))
+        near = both.join(label.select(F.col("node").alias("b"), "comp"), "b").groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("near"))
+        low = label.join(near, "node").select("node", F.col("comp").alias("old"), F.least("comp", "near").alias("mid"))
+        jump = label.select(F.col("node").alias("mid"), F.col("comp").alias("far"))
+        new = durable(low.join(jump, "mid").select("node", "old", F.least("mid", "far").alias("comp")))
         changed = not new.where("old != comp").isEmpty()
-        label = new.select("rep", "comp")
+        label = new.select("node", "comp")
         if not changed:
-            return nodes.join(label, "rep", "left").select("rep", F.coalesce("comp", "rep").alias("comp"))
+            return nodes.join(label, "node", "left").select("node", F.coalesce("comp", "node").alias("comp"))
+
+
+def own_texts(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """``node, text``: for each wanted ``doc_id, node`` the text that has this set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingle = Shingler(words)
+        for batch in batches:
+            keep = [node_of(shingle(t)) == n for n, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    rows = docs.select(F.col("doc_id").alias("_id"), "text").join(wanted, F.col("_id") == F.col("doc_id"))
+    repeated = wanted.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    alone = rows.join(repeated, "doc_id", "left_anti").select("node", "text")
+    several = rows.join(repeated, "doc_id", "left_semi").select("node", "text").mapInArrow(run, "node long, text string")
+    return alone.unionAll(several)
 
 
 def within(percent: int) -> Column:
@@ -193,37 +215,42 @@ def linked_components(docs: DataFrame, words: int = 4, percent: int = 85) -> Dat
     table = mean_and_frequent(docs, words)
     all_rows = durable(signatures(docs, words, percent, table))
     known = all_rows.where("n > 0 and doc_id is not null")
-    classes = durable(known.groupBy("sig").agg(F.min("doc_id").alias("rep")))
-    reps = known.join(classes.withColumnRenamed("rep", "doc_id"), ["sig", "doc_id"]).dropDuplicates(["sig"])
-    index = postings(reps.withColumnRenamed("doc_id", "rep"))
+    firsts = durable(known.groupBy("node").agg(F.min("doc_id").alias("doc_id")))
+    nodes = firsts.select("node")
+    reps = known.join(firsts, ["node", "doc_id"]).dropDuplicates(["node"])
+    index = postings(reps)
     shared = index.groupBy("key").count().where("count > 1").select("key")
     index = durable(index.join(shared, "key", "left_semi"))
-    sets = durable(sets_of(docs, index, words))
-    # An id with several texts: its classes are one node.
-    members = durable(known.select("doc_id", "sig").distinct().join(classes, "sig").select("doc_id", "rep").distinct())
-    nodes = members.select("rep").distinct()
-    links = members.where("doc_id != rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")) \
-        .join(members.groupBy(F.col("doc_id").alias("a")).count().where("count > 1").select("a"), "a", "left_semi")
-    links = durable(links)
-    for salt in (1, 2):
-        pivots = index.groupBy("key").agg(F.min(F.struct(F.xxhash64(F.lit(salt), "rep").alias("h"), "rep", "n")).alias("p"))
-        pairs = index.select("key", F.col("rep").alias("x"), F.col("n").alias("na")).join(
-            pivots.select("key", F.col("p.rep").alias("y"), F.col("p.n").alias("nb")), "key").where((F.col("x") != F.col("y")) & within(percent))
-        pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        links = durable(links.unionAll(verified(pairs, sets, percent)).distinct())
+    wanted = firsts.join(index.select("node").distinct(), "node", "left_semi")
+    texts = durable(own_texts(docs, wanted, words))
+    # Sets that share an id are linked by it: rows may repeat an id with another text.
+    ids = known.select("doc_id", "node").distinct().groupBy("doc_id").agg(
+        F.min("node").alias("low"), F.max("node").alias("high"), F.collect_set("node").alias("all"))
+    links = durable(ids.where("low != high").select(F.explode("all").alias("a"), F.col("low").alias("b")).where("a != b"))
     comp = durable(components(nodes, links))
-    placed = index.join(comp, "rep")
+    for salt in (1, 2):
+        placed = index.join(comp, "node")
+        pivots = placed.groupBy("key").agg(
+            F.min(F.struct(F.xxhash64(F.lit(salt), "node").alias("h"), "node", "n", "comp")).alias("p"))
+        pairs = placed.select("key", F.col("node").alias("member"), F.col("n").alias("na"), "comp").join(
+            pivots.select("key", F.col("p.node").alias("pivot"), F.col("p.n").alias("nb"), F.col("p.comp").alias("far")), "key")
+        pairs = pairs.where((F.col("comp") != F.col("far")) & within(percent)).select("member", "pivot").distinct()
+        links = durable(links.unionAll(verified(pairs, texts, words, percent)))
+        comp = durable(components(nodes, links))
+    placed = index.join(comp, "node")
     mixed = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("key")
     left = durable(placed.join(mixed, "key", "left_semi"))
-    far = (left.select("key", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
-           .join(left.select("key", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb")), "key")
-           .where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & within(percent)).select("a", "b").distinct())
-    links = durable(links.unionAll(verified(far, sets, percent)).distinct())
+    rest = (left.select("key", F.col("node").alias("member"), F.col("n").alias("na"), "comp")
+            .join(left.select("key", F.col("node").alias("pivot"), F.col("n").alias("nb"), F.col("comp").alias("far")), "key")
+            .where((F.col("member") < F.col("pivot")) & (F.col("comp") != F.col("far")) & within(percent))
+            .select("member", "pivot").distinct())
+    links = durable(links.unionAll(verified(rest, texts, words, percent)))
     comp = components(nodes, links)
-    own = members.join(comp, "rep").groupBy("doc_id").agg(F.min("comp").alias("component_id"))
-    rows = all_rows.select("doc_id", F.col("n").alias("n_shingles"))
-    placed = rows.join(own.withColumnRenamed("doc_id", "_id"), (F.col("doc_id") == F.col("_id")) & (F.col("n_shingles") > 0), "left")
-    return placed.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    smallest = durable(comp.join(firsts, "node").groupBy("comp").agg(F.min("doc_id").alias("component_id")))
+    of_node = comp.join(smallest, "comp").select(F.col("node").alias("_node"), "component_id")
+    rows = all_rows.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.col("node")).alias("node"))
+    out = rows.join(of_node, F.col("node") == F.col("_node"), "left")
+    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
