@@ -253,6 +253,12 @@ def test_left_reference_repeats_rows_like_a_left_join(spark):
     assert sorted(r["k"] for r in semi) == [1, 2]
 
 
+def test_running_sums_keep_null_groups(spark):
+    df = spark.createDataFrame([(None, 1, 2), (None, 2, 3), ("a", 1, 4)], "g string, o int, x int")
+    rows = running_sums(df, ["g"], ["o"], ["x"]).collect()
+    assert sorted((r.g or "", r.o, r.x_upto) for r in rows) == [("", 1, 2), ("", 2, 5), ("a", 1, 4)]
+
+
 def test_running_sums_over_slices(spark):
     df = spark.range(1000).selectExpr("id % 3 as g", "id as o", "id % 7 as x").repartition(5)
     for by in (["g"], []):

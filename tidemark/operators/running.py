@@ -31,13 +31,17 @@ def running_sums(df: DataFrame, by: Sequence[str], order: Sequence[str],
         sliced.groupBy("_slice", *by).agg(*[F.sum(c).alias(c) for c in sums])
     )
     offsets = totals.select(
-        "_slice", *by,
+        F.col("_slice").alias("_of_slice"), *[F.col(c).alias(f"_of_{c}") for c in by],
         *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_{c}_before") for c in sums],
     )
     inside = Window.partitionBy("_slice", *by).orderBy(*order).rowsBetween(
         Window.unboundedPreceding, 0)
     summed = sliced.select("*", *[F.sum(c).over(inside).alias(f"_{c}_in") for c in sums])
-    joined = summed.join(broadcast_within(offsets), on=["_slice", *by])
+    # A null group is a group: plain equality would lose its rows.
+    same = F.col("_slice") == F.col("_of_slice")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    joined = summed.join(broadcast_within(offsets), on=same)
     return joined.select(
         *df.columns,
         *[(F.col(f"_{c}_in") + F.col(f"_{c}_before")).alias(f"{c}_upto") for c in sums],
