@@ -61,6 +61,26 @@ def overlap_needed(n: np.ndarray | int, percent: int):
     return -(-n * percent // 100)
 
 
+def parity_bits(codes: np.ndarray) -> bytes:
+    """One bit per cell, whether an odd number of shingles falls there; two to four cells a shingle."""
+    cells = max(256, 1 << (2 * len(codes) - 1).bit_length())
+    counts = np.bincount((codes & np.uint64(cells - 1)).astype(np.int64), minlength=cells)
+    return np.packbits((counts & 1).astype(bool)).tobytes()
+
+
+def least_apart(a: bytes, b: bytes) -> int:
+    """Shingles in one of two sets but not both: at least as many as cells of unlike parity.
+
+    The larger table is folded upon itself, as if it had had fewer cells.
+    """
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def mean_and_frequent(docs: DataFrame, words: int) -> np.ndarray:
     """Which of ``CELLS`` cells of shingle hashes are frequent, as a packed table of fixed size."""
 
@@ -85,7 +105,7 @@ def mean_and_frequent(docs: DataFrame, words: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, words: int, percent: int, table) -> DataFrame:
-    """``doc_id, n, node, rare, often``: set size, hash of the set, and its extended prefix.
+    """``doc_id, n, node, bits, rare, often``: set size, hash and parities of the set, and its extended prefix.
 
     The order is by class, rare first, then by hash. The prefix is one longer than
     a shared shingle needs, so linked sets share two of it (or all they have).
@@ -98,11 +118,12 @@ def signatures(docs: DataFrame, words: int, percent: int, table) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                sizes, sigs, rare, often = [], [], [], []
+                sizes, sigs, bits, rare, often = [], [], [], [], []
                 for text in part.column(1).to_pylist():
                     s = shingle(text)
                     sizes.append(len(s))
                     sigs.append(node_of(s) if len(s) else None)
+                    bits.append(parity_bits(s) if len(s) else None)
                     hot = frequent[(s % np.uint64(CELLS)).astype(np.int64)]
                     length = len(s) - overlap_needed(len(s), percent) + 2
                     cold = s[~hot][:length]
@@ -110,10 +131,12 @@ def signatures(docs: DataFrame, words: int, percent: int, table) -> DataFrame:
                     often.append(s[hot][: length - len(cold)].view(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(sizes, pa.int64()), pa.array(sigs, pa.int64()),
+                     pa.array(bits, pa.binary()),
                      pa.array(rare, pa.list_(pa.int64())), pa.array(often, pa.list_(pa.int64()))],
-                    ["doc_id", "n", "node", "rare", "often"])
+                    ["doc_id", "n", "node", "bits", "rare", "often"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, node long, rare array<long>, often array<long>")
+    return docs.select("doc_id", "text").mapInArrow(
+        run, "doc_id long, n long, node long, bits binary, rare array<long>, often array<long>")
 
 
 def postings(reps: DataFrame) -> DataFrame:
@@ -135,6 +158,25 @@ def postings(reps: DataFrame) -> DataFrame:
     return reps.select(F.explode(F.array_distinct(keys)).alias("key"), "node", "n")
 
 
+def possible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Those of ``pairs`` (``member, pivot``) that the parities of their sets do not rule out.
+
+    A lower bound of the difference is compared, so no pair that links is lost;
+    most pairs that merely share a passage go before any text is sent.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cols = [batch.column(i).to_pylist() for i in range(2, 6)]
+            keep = [least_apart(a, b) * (100 + percent) <= (na + nb) * (100 - percent) for na, a, nb, b in zip(*cols)]
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], ["member", "pivot"]).filter(pa.array(keep, pa.bool_()))
+
+    left = sketches.select(F.col("node").alias("member"), F.col("n").alias("na"), F.col("bits").alias("mine"))
+    right = sketches.select(F.col("node").alias("pivot"), F.col("n").alias("nb"), F.col("bits").alias("theirs"))
+    met = pairs.join(left, "member").join(right, "pivot").select("member", "pivot", "na", "mine", "nb", "theirs")
+    return met.mapInArrow(run, "member long, pivot long")
+
+
 def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """Those of ``pairs`` (``member, pivot``) that link by their whole sets, as ``a, b``.
 
@@ -207,7 +249,7 @@ def linked_components(docs: DataFrame, words: int = 4, percent: int = 85) -> Dat
     Equal sets fall together first. Postings then give pairs with one pivot per
     key, twice with other pivots; these join most of a near-copy group. Every
     further pair of a key whose ends are still in different components is
-    checked, so no link between components is missed, and no group of copies is
+    checked, first by a bound on parities, then by its texts, so no link between components is missed, and no group of copies is
     expanded into its pairs. Null and empty texts have an empty set and stay alone, as do
     null ids (null component). Rows that repeat an id with another text share the
     smallest component of its texts; rows come back once each.
@@ -223,6 +265,7 @@ def linked_components(docs: DataFrame, words: int = 4, percent: int = 85) -> Dat
     index = durable(index.join(shared, "key", "left_semi"))
     wanted = firsts.join(index.select("node").distinct(), "node", "left_semi")
     texts = durable(own_texts(docs, wanted, words))
+    sketches = durable(known.join(wanted, ["node", "doc_id"]).dropDuplicates(["node"]).select("node", "n", "bits"))
     # Sets that share an id are linked by it: rows may repeat an id with another text.
     ids = known.select("doc_id", "node").distinct().groupBy("doc_id").agg(
         F.min("node").alias("low"), F.max("node").alias("high"), F.collect_set("node").alias("all"))
@@ -235,7 +278,7 @@ def linked_components(docs: DataFrame, words: int = 4, percent: int = 85) -> Dat
         pairs = placed.select("key", F.col("node").alias("member"), F.col("n").alias("na"), "comp").join(
             pivots.select("key", F.col("p.node").alias("pivot"), F.col("p.n").alias("nb"), F.col("p.comp").alias("far")), "key")
         pairs = pairs.where((F.col("comp") != F.col("far")) & within(percent)).select("member", "pivot").distinct()
-        links = durable(links.unionAll(verified(pairs, texts, words, percent)))
+        links = durable(links.unionAll(verified(possible(pairs, sketches, percent), texts, words, percent)))
         comp = durable(components(nodes, links))
     placed = index.join(comp, "node")
     mixed = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("key")
@@ -244,7 +287,7 @@ def linked_components(docs: DataFrame, words: int = 4, percent: int = 85) -> Dat
             .join(left.select("key", F.col("node").alias("pivot"), F.col("n").alias("nb"), F.col("comp").alias("far")), "key")
             .where((F.col("member") < F.col("pivot")) & (F.col("comp") != F.col("far")) & within(percent))
             .select("member", "pivot").distinct())
-    links = durable(links.unionAll(verified(rest, texts, words, percent)))
+    links = durable(links.unionAll(verified(possible(rest, sketches, percent), texts, words, percent)))
     comp = components(nodes, links)
     smallest = durable(comp.join(firsts, "node").groupBy("comp").agg(F.min("doc_id").alias("component_id")))
     of_node = comp.join(smallest, "comp").select(F.col("node").alias("_node"), "component_id")
