@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 
 from tidemark.durable import durable
 
-SPACES = " \t\n\x0b\x0c\r"
-TO_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ\t\n\x0b\x0c\r", "abcdefghijklmnopqrstuvwxyz     ")
 CELLS = 1 << 20  # size of the table of shingle counts: fixed, whatever the input
 FREQUENT = 64  # a cell is frequent if it holds so many more than four times the mean
 SINGLE_FROM, PAIRS_TO, RATIO_AT = 340, 471, 400  # sizes that index frequent shingles singly, and by pairs
@@ -24,7 +22,7 @@ MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165
 class WordCodes(dict):
     """Hashes of words, made when first asked for."""
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: bytes) -> int:
         self[word] = code = xxhash.xxh3_64_intdigest(word)
         return code
 
@@ -36,7 +34,7 @@ class Shingler:
         self.words, self.memo = words, WordCodes()
 
     def __call__(self, text: str | None) -> np.ndarray:
-        parts = [w for w in (text or "").translate(TO_LOWER).split(" ") if w]
+        parts = (text or "").encode().lower().split()  # of bytes: A-Z and ASCII white space only
         if not parts:
             return np.empty(0, np.uint64)
         memo, k = self.memo, min(self.words, len(parts))
@@ -48,7 +46,8 @@ class Shingler:
         for j in range(k):
             mixed = (mixed ^ (codes[j : j + n] * np.uint64(MIX[j % 4] + 2 * (j // 4)))) * np.uint64(MIX[0])
             mixed ^= mixed >> np.uint64(29)
-        return np.unique(mixed)
+        mixed.sort()
+        return mixed[np.append(True, mixed[1:] != mixed[:-1])]
 
 
 def node_of(codes: np.ndarray) -> int:
