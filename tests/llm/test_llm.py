@@ -10,7 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import ann, html, jaccard, licenses, linededup, mixing, pieces, quality, topk, urls
-from tidemark.llm.queries import QUERIES
+from tests.compare import connect, duck_rows, spark_rows
+from tidemark.llm.queries import QUERIES, SQL
 
 SF_DIR = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -299,6 +300,26 @@ def test_components_against_brute_force(spark, frequent, monkeypatch):
     assert got == brute_components(rows, 4, 85)
 
 
+def test_parity_bound_loses_no_link():
+    rng = np.random.default_rng(3)
+    for size in (1, 3, 40, 900, 5000):
+        a = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+        for share in (0.0, 0.5, 0.9, 1.0):
+            b = np.unique(np.append(a[: int(len(a) * share)], rng.integers(0, 2**63, 5).astype(np.uint64)))
+            apart = len(np.setxor1d(a, b))
+            assert jaccard.least_apart(jaccard.parity_bits(a), jaccard.parity_bits(b)) <= apart
+    assert jaccard.least_apart(jaccard.parity_bits(a), jaccard.parity_bits(a)) == 0
+
+
+def test_shingles_split_and_lower_ascii_only():
+    shingle = jaccard.Shingler(2)
+    same = [shingle(t) for t in ("A\x0bB\tc", "a b c", " a\r\nb\x0cC ")]
+    assert all(np.array_equal(s, same[0]) for s in same) and len(same[0]) == 2
+    for other in ("a\x1cb c", "a\xa0b c", "a\x85b c"):
+        assert len(shingle(other)) == 1
+    assert not np.array_equal(shingle("É b"), shingle("é b"))
+
+
 def test_components_odd(spark):
     got = jaccard.linked_components(frame(spark, ODD)).collect()
     assert len(got) == len(ODD) and {(r.doc_id, r.component_id) for r in got} == {(1, 1), (2, 2), (None, None), (3, 3), (4, 4)}
@@ -325,3 +346,10 @@ def test_pipeline(spark):
     last = corpus_pipeline.STAGES[4][1](spark, docs, SF_DIR)
     assert last.count() == sizes[3] > 0 and last.where("not exact").count() == 0
     assert sizes[0] >= sizes[2] and sizes[0] == sizes[1]
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_query_against_sql(spark, name):
+    columns, rows = spark_rows(QUERIES[name](spark, SF_DIR))
+    wanted_columns, wanted = duck_rows(connect(SF_DIR), SQL[name])
+    assert columns == wanted_columns and rows == wanted and rows

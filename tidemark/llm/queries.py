@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tidemark.llm import checks
 from tidemark.llm.ann import op5_ann
 from tidemark.llm.html import op4_html
 from tidemark.llm.jaccard import op10_jaccard
@@ -26,4 +27,9 @@ QUERIES = {
     "op10_jaccard": op10_jaccard,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op7_topk": checks.TOPK,
+    "op8_mixing": checks.MIXING,
+    "op9_line_dedup": checks.LINE_DEDUP,
+    "op10_jaccard": checks.JACCARD,
+}
