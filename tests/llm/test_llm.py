@@ -117,6 +117,19 @@ def test_urls_rules_and_mining(spark):
     assert urls.judge(pages.limit(0)).count() == 0
 
 
+def test_urls_rules_decide_unlabelled_rows(spark):
+    """A few labelled urls of a host speak for its other ones; the rules' own words and single rows do not."""
+    rows = [f"http://casino-win.example.com/de/{i}" for i in range(4)] + [f"http://casino-win.example.com/en/{i}" for i in range(27)]
+    rows += [f"http://calm.example.org/fr/{i}" for i in range(20)] + [f"http://calm.example.org/de/{i}" for i in range(9)]
+    rows += ["http://once.example.com/de/1", "http://once.example.com/en/1"] + [f"http://new{i}.example.com/it/1" for i in "abc"]
+    pages = frame(spark, list(enumerate(rows)), "page_id long, url string")
+    got = {r.page_id: r for r in urls.judge(pages).collect()}
+    assert {(got[i].rule, got[i].verdict, got[i].confidence) for i in range(4, 31)} == {(None, "block", 1.0)}
+    assert {(got[i].rule, got[i].verdict, got[i].confidence) for i in range(51, 60)} == {(None, "allow", 1.0)}
+    # One labelled url makes no rule; a language and a top-level domain are no tokens.
+    assert all(got[i].verdict == "allow" and got[i].rule is None for i in range(61, 65))
+
+
 # --- 4: html
 
 

@@ -31,20 +31,33 @@ def tokens_of(host: Column, path: Column) -> Column:
     return F.array_sort(F.array_distinct(F.concat(split(host, "h:"), split(path, "p:"))))
 
 
-def mine_rules(rows: DataFrame, support: float = 0.005, confidence: float = 0.8) -> DataFrame:
+def telling_tokens(host: Column, path: Column, given) -> Column:
+    """``tokens_of`` less what only restates the given rules: the top-level domain, a language segment of two
+    letters at the start of the path, and the words of the given hosts and paths."""
+    bare = F.regexp_replace(host, r"\.?[^.]*\z", "")
+    rest = F.regexp_replace(path, r"\A/[A-Za-z]{2}(?=/|\z)", "")
+    restated = [tokens_of(F.lit(h), F.lit(p)) for h, p, _ in given]
+    tokens = tokens_of(bare, rest)
+    return F.array_except(tokens, F.flatten(F.array(*restated))) if restated else tokens
+
+
+def mine_rules(rows: DataFrame, support: float = 0.002, confidence: float = 0.8, least: int = 3) -> DataFrame:
     """Rules ``rule_id, tokens, blocks, confidence`` mined from ``tokens`` and ``verdict``.
 
-    FP-growth runs over all rows; those without a verdict (null) count against a
-    rule, so that a token is not condemned for a few labelled rows. Rules that imply a verdict and pass
+    FP-growth runs over the rows with a verdict; support and confidence are shares
+    of these. A rule stands on ``least`` of them at least, so that a token is not
+    condemned for one or two rows, and must be surer than its verdict is over all of them, so
+    that a token that most rows have implies nothing. Rules that imply a verdict and pass
     ``confidence`` are kept unless a shorter rule within them implies the same;
     so each is minimal. There are at most as many single tokens as 1 / support
     times the tokens of a row.
     """
-    items = rows.select(F.array_compact(F.array_append("tokens", F.concat(F.lit("="), "verdict"))).alias("items"))
+    items = rows.where("verdict is not null").select(F.array_append("tokens", F.concat(F.lit("="), "verdict")).alias("items"))
+    support = min(1.0, max(support, (least - 0.5) / max(1, items.count())))  # the fit rounds support times rows up
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(items)
     implied = model.associationRules.where(F.col("consequent")[0].isin("=block", "=allow")).select(
-        F.array_sort("antecedent").alias("tokens"), (F.col("consequent")[0] == "=block").alias("blocks"), "confidence")
-    implied = implied.where(~F.exists("tokens", lambda t: t.startswith("=")))
+        F.array_sort("antecedent").alias("tokens"), (F.col("consequent")[0] == "=block").alias("blocks"), "confidence", "lift")
+    implied = implied.where("lift > 1 + 1e-9").drop("lift").where(~F.exists("tokens", lambda t: t.startswith("=")))
     # A rule that holds a shorter one is found by the shorter one's tokens less one each: drop by a token index.
     rules = implied.withColumn("rule_id", F.xxhash64("tokens", "blocks"))
     subsets = rules.select("rule_id", "blocks", F.col("tokens").alias("whole"), F.explode("tokens").alias("token"))
@@ -55,12 +68,13 @@ def mine_rules(rows: DataFrame, support: float = 0.005, confidence: float = 0.8)
     return rules.join(held, "rule_id", "left_anti")
 
 
-def judge(pages: DataFrame, given=RULES, support: float = 0.005, confidence: float = 0.8) -> DataFrame:
+def judge(pages: DataFrame, given=RULES, support: float = 0.002, confidence: float = 0.8) -> DataFrame:
     """``pages`` with ``host, path, rule, verdict, confidence``.
 
     The longest given rule that fits decides; rows so decided carry the labels that
     the token rules are mined from. For the rest, each distinct token set is looked
     up in an inverted index of the mined rules; the surest rule wins, ties block.
+    Words that only restate the given rules are no tokens, see ``telling_tokens``.
     Without any rule, without labels, and for null urls the verdict is allow.
     Columns of ``pages`` with these names are replaced.
     """
@@ -70,7 +84,7 @@ def judge(pages: DataFrame, given=RULES, support: float = 0.005, confidence: flo
     for host, path, says in sorted(given, key=lambda r: len(r[0] + r[1])):
         fits = ((F.col("host") == host) | F.col("host").endswith(f".{host}")) & F.col("path").startswith(path)
         rule, verdict = F.when(fits, host + path).otherwise(rule), F.when(fits, says).otherwise(verdict)
-    base = base.withColumns({"rule": rule, "verdict": verdict, "_tokens": tokens_of(F.col("host"), F.col("path"))})
+    base = base.withColumns({"rule": rule, "verdict": verdict, "_tokens": telling_tokens(F.col("host"), F.col("path"), given)})
     if base.where("rule is not null").isEmpty():
         return base.withColumns({"verdict": F.lit("allow"), "confidence": F.lit(None).cast("double")}).drop("_tokens")
     mined = mine_rules(base.select(F.col("_tokens").alias("tokens"), "verdict"), support, confidence)
