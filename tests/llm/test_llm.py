@@ -147,6 +147,24 @@ def test_html_open_menu_and_no_article():
     assert html.main_text(None) == html.main_text("") == html.main_text("<p></p>") == ""
 
 
+def test_html_regions_without_article():
+    long = " ".join(["plain words of a paragraph"] * 30)
+    items = "".join(f"<li>item {i}</li>" for i in range(9))
+    bar = "".join(f"<li><a href=/{i}>go {i}</a></li>" for i in range(8))
+    body = (f"<h1>Head</h1><p>by A</p><p>{long}</p><h2>Part</h2><p>No.</p><ul>{items}</ul><p><a href=/s>a source</a></p><p>Yes.</p>"
+            f"<p>{long}</p><h2>End</h2><p>one.</p><p>two.</p><p>three.</p><p>four.</p><p>five.</p>")
+    want = ["Head", "by A", long, "Part", "No.", *[f"item {i}" for i in range(9)], "a source", "Yes.", long, "End",
+            "one.", "two.", "three.", "four.", "five."]
+    assert html.main_text(f"<body><div><ul>{bar}</ul></div><div>{body}</div><div><p>(c) us</p><ul>{bar}</ul></div>").split("\n") == want
+    assert html.main_text(f"<body><ul>{bar}</ul>{body}<ul>{bar}</ul>").split("\n")[-len(want) - 3 :][: len(want)] == want
+
+
+def test_html_text_beside_a_small_article():
+    long = " ".join(["plain words of a paragraph"] * 30)
+    page = f"<body><div><h1>Head</h1><p>{long}</p><p>No.</p><p>{long}</p></div><div><article><p>teaser</p></article></div>"
+    assert html.main_text(page) == f"Head\n{long}\nNo.\n{long}"
+
+
 def test_html_frames(spark):
     pages = frame(spark, [(1, None, None), (None, "u", "<p>a</p>"), (2, "u", "<p>b</p>")], "page_id long, url string, html string")
     got = html.extract(pages.withColumn("text", F.lit("clash"))).collect()

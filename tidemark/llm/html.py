@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -21,31 +22,53 @@ NOT_CONTENT = re.compile(
     r"|notices?|popup|promo\w*|related|share|sharing|sidebar|social|sponsor\w*|subscribe|toolbar|header|masthead)(?=$|[\s_-])",
     re.IGNORECASE)
 REGIONS = ("article", "main")
+HOLDERS = frozenset(("div", "section", "center", "td", *REGIONS))
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
+LINKS = 3  # a longer run of lines that are nothing but links parts two regions
+ABOVE = 3  # a heading stands at most so many lines above its text
+
+
+class Line(NamedTuple):
+    text: str
+    tags: int
+    inside: bool  # within an article, outside all furniture
+    linked: bool  # nothing but links
+    heading: bool
+    holders: tuple[int, ...]  # numbers of the open elements that may bound a region, outermost first
 
 
 class Lines(HTMLParser):
-    """Parser events to lines: text, tags, and whether it stands within an article and outside all furniture."""
+    """Parser events to lines outside all furniture."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, bool]] = []  # tag, is it furniture
+        self.numbers: list[int] = []  # of the open elements
+        self.count = 0
+        self.links = 0
+        self.plain = False  # has the line text outside links
         self.furniture = 0
         self.region = 0
         self.parts: list[str] = []
         self.tags = 0
-        self.lines: list[tuple[str, int, bool]] = []
+        self.lines: list[Line] = []
 
     def cut(self) -> None:
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                self.lines.append((text, self.tags, self.region > 0))
+                tags = [tag for tag, _ in self.open]
+                holders = tuple(n for tag, n in zip(tags, self.numbers) if tag in HOLDERS)
+                heading = any(tag in HEADINGS for tag in tags[-3:])
+                self.lines.append(Line(text, self.tags, self.region > 0, not self.plain, heading, holders))
                 self.tags = 0
-            self.parts = []
+            self.parts, self.plain = [], False
 
     def leave(self, upto: int) -> None:
         while len(self.open) > upto:
             tag, bad = self.open.pop()
+            self.numbers.pop()
+            self.links -= tag == "a"
             self.furniture -= bad
             self.region -= tag in REGIONS and not bad
 
@@ -54,7 +77,7 @@ class Lines(HTMLParser):
             self.cut()
         elif tag == "br":
             self.parts.append(" ")
-        self.tags += 1
+        self.tags += not self.furniture
         if tag in VOID:
             return
         if tag == "body":  # whatever the head left open ends here
@@ -66,6 +89,9 @@ class Lines(HTMLParser):
         bad = tag in SKIPPED or (tag == "header" and not self.region) or (
             tag not in ("html", "body", *REGIONS) and bool(names) and bool(NOT_CONTENT.search(names)))
         self.open.append((tag, bad))
+        self.count += 1
+        self.numbers.append(self.count)
+        self.links += tag == "a"
         self.furniture += bad
         self.region += tag in REGIONS and not bad
 
@@ -77,7 +103,7 @@ class Lines(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         if tag in BLOCKS:
             self.cut()
-        self.tags += 1
+        self.tags += not self.furniture
         for i in range(len(self.open) - 1, -1, -1):
             if self.open[i][0] == tag:
                 self.leave(i)
@@ -88,8 +114,9 @@ class Lines(HTMLParser):
     def handle_data(self, data: str) -> None:
         if not self.furniture:
             self.parts.append(data)
+            self.plain = self.plain or (not self.links and not data.isspace())
 
-    def finish(self) -> list[tuple[str, int, bool]]:
+    def finish(self) -> list[Line]:
         self.close()
         self.cut()
         return self.lines
@@ -102,13 +129,53 @@ def smooth(ratios: np.ndarray, sigma: float) -> np.ndarray:
     return np.convolve(padded, kernel / kernel.sum(), mode="valid")
 
 
+def clusters(lines: list[Line], content: np.ndarray) -> list[np.ndarray]:
+    """Content lines in order, parted where more than ``LINKS`` lines in a row are nothing but links."""
+    run, parted = 0, []
+    for line in lines:
+        run = run + 1 if line.linked else 0
+        parted.append(run == LINKS + 1)
+    return np.split(content, np.flatnonzero(np.diff(np.cumsum(parted)[content])) + 1)
+
+
+def widen(lines: list[Line], cluster: np.ndarray) -> range:
+    """All lines from a cluster's first to its last, and on to the bounds of the smallest element that holds them.
+
+    Where that is the whole body, other elements and long runs of links are bounds. A
+    heading just above belongs to it.
+    """
+    low, high = int(cluster[0]), int(cluster[-1]) + 1
+    held = lines[low].holders
+    for i in cluster:
+        held = tuple(n for n, m in zip(held, lines[i].holders) if n == m)
+
+    def reach(ahead) -> int:
+        steps, run = 0, 0
+        for taken, line in enumerate(ahead, 1):
+            if line.holders[: len(held)] != held or (not held and line.holders):
+                break
+            run = run + 1 if line.linked else 0
+            if not held and run > LINKS:
+                return taken - run
+            steps = taken
+        return steps
+
+    low, high = low - reach(lines[i] for i in range(low - 1, -1, -1)), high + reach(lines[i] for i in range(high, len(lines)))
+    for i in range(max(0, low - ABOVE), low):
+        if lines[i].heading and not lines[i].linked:
+            return range(i, high)
+    return range(low, high)
+
+
 def main_text(html: str | None, sigma: float = 1.0) -> str:
     """The main text of one page: null, empty and textless pages give an empty one.
 
-    Lines outside furniture get characters per tag; smoothed ratios above half
-    their deviation from the mean are content. A page that marks its article
-    keeps all lines of the article, short ones too; only pages without one are
-    cut at the threshold, from the first content line of the densest run to its last.
+    Lines outside furniture get characters per tag. Smoothed ratios of half their
+    deviation under the mean and more, and of a quarter of the mean, are content; links
+    alone only if nothing else is. Content lines are clustered to regions, which are
+    widened to the element that holds them; every line of a region is kept, short
+    ones and links too. Articles are the regions, whole, if they have at
+    least half of the content's characters; else they count as any other element.
     """
     if not html:
         return ""
@@ -117,11 +184,16 @@ def main_text(html: str | None, sigma: float = 1.0) -> str:
     lines = parser.finish()
     if not lines:
         return ""
-    if any(inside for _, _, inside in lines):
-        return "\n".join(text for text, _, inside in lines if inside)
-    ratios = smooth(np.array([len(t) / max(1, n) for t, n, _ in lines]), sigma)
-    chosen = ratios >= min(ratios.max(), max(ratios.mean() - 0.5 * ratios.std(), 0.0))
-    return "\n".join(line[0] for line, keep in zip(lines, chosen) if keep)
+    ratios = smooth(np.array([len(line.text) / max(1, line.tags) for line in lines]), sigma)
+    chosen = ratios >= min(ratios.max(), max(ratios.mean() - 0.5 * ratios.std(), 0.25 * ratios.mean()))
+    content = np.flatnonzero(chosen)
+    plain = [i for i in content if not lines[i].linked]
+    content = np.array(plain) if plain else content
+    marked = sum(len(lines[i].text) for i in content if lines[i].inside)
+    if 2 * marked >= sum(len(lines[i].text) for i in content):
+        return "\n".join(line.text for line in lines if line.inside)
+    kept = set().union(*(widen(lines, c) for c in clusters(lines, content)))
+    return "\n".join(lines[i].text for i in sorted(kept))
 
 
 def extract(pages: DataFrame, sigma: float = 1.0) -> DataFrame:
