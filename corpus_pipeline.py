@@ -17,8 +17,12 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without lines that many sources share."""
-    return linededup.drop_spread_lines(docs).select(*docs.columns)
+    """All documents, without lines that three sources share, or two if they have 50 words or more.
+
+    Near copies keep the latter for the next stage, which drops such documents whole.
+    """
+    spread = durable(linededup.drop_spread_lines(docs).select(*docs.columns))
+    return linededup.drop_passages(spread).select(*docs.columns)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -287,6 +287,24 @@ def test_line_dedup_against_brute_force(spark):
     assert linededup.drop_spread_lines(frame(spark, [])).count() == 0
 
 
+def test_line_dedup_passages_on_two_sites(spark):
+    import corpus_pipeline
+
+    passages = {n: " ".join(f"{n}w{i}" for i in range(n)) for n in (49, 50, 70)}
+    alone = " ".join(f"one{i}" for i in range(60))
+    own = {i: " ".join(f"own{i}x{j}" for j in range(90)) for i in range(8)}
+    rows = [(i, own[i] + "\n" + "\n".join(passages.values()), "en", "ab"[i % 2], 1) for i in range(8)]
+    copy = " ".join(f"c{j}" for j in range(200))
+    rows += [(40 + i, f"{copy}\nending {i}", "en", "ab"[i], 1) for i in range(2)]
+    rows += [(20 + i, alone, "en", "a", 1) for i in range(5)]
+    docs = frame(spark, rows)
+    by = {r.doc_id: r.text.split("\n") for r in corpus_pipeline.drop_boilerplate(spark, docs, SF_DIR).collect()}
+    assert by[0][1:] == list(passages.values()) and all(by[i][1:] == [passages[49]] for i in range(1, 8))
+    assert all(by[20 + i] == [alone] for i in range(5))  # one source
+    assert all(by[40 + i] == [copy, f"ending {i}"] for i in range(2))  # near copies: the next stage's work
+    assert {r.n_removed for r in linededup.drop_spread_lines(docs).collect()} == {0}
+
+
 # --- 10: Jaccard join
 
 

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.durable import durable
+from tidemark.llm import jaccard
 
 MIN_SITES = 3
 MIN_WORDS = 5
+PASSAGE_WORDS = 50
 
 
 def spread_lines(lines: DataFrame, min_sites: int, lg_k: int = 10) -> DataFrame:
@@ -29,7 +33,8 @@ def spread_lines(lines: DataFrame, min_sites: int, lg_k: int = 10) -> DataFrame:
     return sketched.select("key", "first").join(sure.unionAll(exact), "key", "left_semi")
 
 
-def drop_spread_lines(docs: DataFrame, min_sites: int = MIN_SITES, min_words: int = MIN_WORDS) -> DataFrame:
+def drop_spread_lines(docs: DataFrame, min_sites: int = MIN_SITES, min_words: int = MIN_WORDS,
+                      spare: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """``docs`` without lines that stand on ``min_sites`` sources or more; ``n_lines, n_removed`` added.
 
     Lines are trimmed to be compared; those under ``min_words`` words are left
@@ -37,6 +42,7 @@ def drop_spread_lines(docs: DataFrame, min_sites: int = MIN_SITES, min_words: in
     from the corpus. A document left without lines has an empty text and stays.
     Null texts stay null; null sources count as one site. Equal rows are treated
     alike. ``n_chars`` follows the text. Columns with the added names are replaced.
+    ``spare`` is given the documents that hold such lines and returns the ``doc_id`` of those that keep theirs.
     """
     base = docs.drop("n_lines", "n_removed")
     base = base.withColumn("_text_key", F.xxhash64("text"))
@@ -52,6 +58,9 @@ def drop_spread_lines(docs: DataFrame, min_sites: int = MIN_SITES, min_words: in
     same = F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.text_key") == F.col("text_key"))
     gone = (lines.join(spread, "key").where(~same).groupBy("doc_id", "text_key").agg(F.collect_set("pos").alias("_gone"))
             .select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "_gone"))
+    if spare is not None:
+        held = lines.join(spread, "key", "left_semi").select("doc_id").distinct()
+        gone = gone.join(spare(durable(docs.join(held, "doc_id", "left_semi"))).select(F.col("doc_id").alias("_id")), "_id", "left_anti")
     out = base.join(gone, F.col("_text_key").eqNullSafe(F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left")
     kept = F.filter(split, lambda x, i: ~F.array_contains(F.col("_gone"), i))
     out = out.withColumns({
@@ -64,6 +73,22 @@ def drop_spread_lines(docs: DataFrame, min_sites: int = MIN_SITES, min_words: in
     return out
 
 
+def near_copies(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """``doc_id`` of the documents that have a near copy among ``docs``."""
+    linked = durable(jaccard.linked_components(docs.select("doc_id", "text"), words, percent).select("doc_id", "component_id"))
+    many = linked.where("doc_id is not null").distinct().groupBy("component_id").count().where("count > 1")
+    return linked.join(many, "component_id", "left_semi").select("doc_id").distinct()
+
+
+def drop_passages(docs: DataFrame, min_sites: int = 2, min_words: int = PASSAGE_WORDS) -> DataFrame:
+    """``drop_spread_lines`` for long lines, which two sources hardly share by chance.
+
+    Documents that are near copies of another holder of such a line keep theirs: they go as
+    a whole when near copies do, and cut to what differs they would no longer be found.
+    """
+    return drop_spread_lines(docs, min_sites, min_words, near_copies)
+
+
 def op9_line_dedup(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
     return drop_spread_lines(docs).select("doc_id", "text", "n_lines", "n_removed")
