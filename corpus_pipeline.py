@@ -11,8 +11,13 @@ from tidemark.llm import jaccard, linededup, mixing, pieces, quality
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier, fitted on the labelled ones, does not reject."""
+    """Documents that the quality classifier, fitted on the labelled ones, does not reject.
+
+    Without labelled documents of both classes nothing can be told apart: all are kept.
+    """
     model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    if not any(part.any() for part in model):
+        return docs
     return quality.classify(docs, model).where("predicted = 1").select(*docs.columns)
 
 

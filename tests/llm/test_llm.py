@@ -397,6 +397,15 @@ def test_pipeline(spark):
     assert sizes[0] >= sizes[2] and sizes[0] == sizes[1]
 
 
+@pytest.mark.parametrize("labels", [[], [(1, 1, 0), (2, 1, 0), (3, 1, 0)]])
+def test_pipeline_keeps_all_without_both_classes(spark, tmp_path, labels):
+    import corpus_pipeline
+
+    frame(spark, labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    docs = frame(spark, [(i, f"a clean line of document {i}", "en", "s", 1) for i in range(6)])
+    assert corpus_pipeline.keep_good(spark, docs, str(tmp_path)).count() == 6
+
+
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_against_sql(spark, name):
     columns, rows = spark_rows(QUERIES[name](spark, SF_DIR))
