@@ -220,6 +220,17 @@ def test_ann_recall_and_ties(spark):
     assert ann.search(rows.limit(0), rows.limit(0), 5).count() == 0
 
 
+def test_repeated_ids(spark):
+    rows = [(0, [1.0, 0.0])] + [(1, [10.0, float(i)]) for i in range(10)] + [(i, [float(i), 1.0]) for i in range(2, 9)]
+    table = frame(spark, rows, "vec_id long, v array<double>")
+    asked = table.where("vec_id = 0")
+    # Exact: each row is ranked, as in the SQL. Approximate: each id once, with its best row.
+    got = [(r.rank, r.vec_id, r.score) for r in topk.top_k(table, asked, 5).orderBy("rank").collect()]
+    assert got == [(i, 1, 10) for i in range(1, 6)]
+    got = [(r.vec_id, round(r.score, 6)) for r in ann.search(table, asked, 5).orderBy("rank").collect()]
+    assert got == [(1, 1.0)] + [(i, round(i / np.hypot(i, 1), 6)) for i in (8, 7, 6, 5)]
+
+
 # --- 6: quality
 
 

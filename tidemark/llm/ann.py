@@ -120,7 +120,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int, index=None, boundary: fl
     vector that a third of all rows share fills many tasks. ``rows`` and
     ``queries`` have ``vec_id, v`` without zero vectors. A query whose lists hold
     fewer than ``k`` others gets the rest by reading all lists; with fewer
-    candidates than ``k`` it gets all. No rows give no rows.
+    candidates than ``k`` it gets all. Repeated ids count once with their best score. No rows give no rows.
     """
     index = fit_index(rows) if index is None else index
     posted = blocked(with_lists(rows, index, boundary, 16, COPIES), ["dim", "list"], block_rows, "block")
@@ -130,14 +130,18 @@ def search(rows: DataFrame, queries: DataFrame, k: int, index=None, boundary: fl
     def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(left) and len(right):
-            right = right.sort_values("vec_id", kind="stable").drop_duplicates("vec_id")
+            right = right.sort_values("vec_id", kind="stable")
             ids, m = right["vec_id"].to_numpy(), matrix(right["v"])
             norms = np.sqrt((m * m).sum(1))
+            repeated = len(np.unique(ids)) < len(ids)
             for q, v in zip(left["vec_id"], left["v"]):
                 v = np.asarray(v, float)
                 cosine = (m * v).sum(1) / (norms * np.sqrt((v * v).sum()))
                 cosine[ids == q] = -np.inf
-                for j in np.argsort(-cosine, kind="stable")[:k]:
+                order = np.argsort(-cosine, kind="stable")
+                if repeated:  # the best row of each id
+                    order = order[np.sort(np.unique(ids[order], return_index=True)[1])]
+                for j in order[:k]:
                     if ids[j] != q:
                         found.append((int(q), int(ids[j]), float(cosine[j])))
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])

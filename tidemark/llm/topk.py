@@ -64,8 +64,8 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int, block_rows: int = 8
     """``query_id, rank, vec_id, score``: exact, over all ``candidates`` (``vec_id, v``; ``v`` whole numbers as doubles).
 
     Candidates and queries are dealt into blocks; each pair of blocks of one
-    dimension is one task's work, so no task holds more than two blocks. Repeated
-    ids count once with their best score. No queries give no rows.
+    dimension is one task's work, so no task holds more than two blocks. Every
+    row is ranked, as in the SQL: rows of a repeated id are candidates each. No queries give no rows.
     """
     by = ["dim"]
     c = blocked(candidates.withColumn("dim", F.size("v")), by, block_rows, "block")
@@ -88,7 +88,7 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int, block_rows: int = 8
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
 
     partial = q.select(*key, "vec_id", "v").groupBy(*key).cogroup(c.select(*key, "vec_id", "v").groupBy(*key)).applyInPandas(search, SCHEMA)
-    return merge_best(partial, k, "long")
+    return merge_best(partial, k, "long", once=False)
 
 
 def op7_topk(spark, sf_dir: str) -> DataFrame:

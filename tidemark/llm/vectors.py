@@ -29,9 +29,10 @@ def blocked(vectors: DataFrame, by: list[str], block_rows: int, label: str) -> D
     return spread.withColumn(label, F.pmod(F.xxhash64("vec_id"), F.col(f"{label}s")))
 
 
-def merge_best(partial: DataFrame, k: int, score_type: str) -> DataFrame:
-    """The ``k`` best of each query from blockwise results; a candidate found in two blocks counts once."""
+def merge_best(partial: DataFrame, k: int, score_type: str, once: bool = True) -> DataFrame:
+    """The ``k`` best of each query from blockwise results; with ``once`` a candidate found twice counts once, with its best score."""
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    once = partial.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    ranked = once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    if once:
+        partial = partial.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    ranked = partial.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int"), "vec_id", F.col("score").cast(score_type))
