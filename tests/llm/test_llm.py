@@ -220,6 +220,16 @@ def test_ann_recall_and_ties(spark):
     assert ann.search(rows.limit(0), rows.limit(0), 5).count() == 0
 
 
+def test_ann_reads_all_lists_within_the_ratio(spark, monkeypatch):
+    table, m = vectors(spark)
+    rows = ann.clean(table).where("vec_id < 1000")
+    index = {24: ann.balanced_centroids(ann.unit(m[:400].astype(float)), 100)}
+    sent, real = [], ann.with_lists
+    monkeypatch.setattr(ann, "with_lists", lambda *a: sent.append(real(*a)) or sent[-1])
+    ann.search(rows, rows.where("vec_id in (0, 50)"), 5, index=index, probe=100.0)
+    assert sent[1].count() == 200
+
+
 def test_repeated_ids(spark):
     rows = [(0, [1.0, 0.0])] + [(1, [10.0, float(i)]) for i in range(10)] + [(i, [float(i), 1.0]) for i in range(2, 9)]
     table = frame(spark, rows, "vec_id long, v array<double>")

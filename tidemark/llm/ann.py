@@ -111,12 +111,12 @@ def with_lists(rows: DataFrame, index: dict[int, np.ndarray], ratio: float, beam
 
 
 def search(rows: DataFrame, queries: DataFrame, k: int, index=None, boundary: float = 1.05, probe: float = 1.35,
-           beam: int = 64, block_rows: int = 4096) -> DataFrame:
+           beam: int | None = None, block_rows: int = 4096) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest found by cosine, in double precision.
 
     Every row stands in the lists whose centroid is within ``boundary`` times its
     nearest one's distance (``COPIES`` at most); a query reads the lists within
-    ``probe`` times. Lists longer than ``block_rows`` are dealt into blocks, so a
+    ``probe`` times: all of them, unless ``beam`` gives a most. Lists longer than ``block_rows`` are dealt into blocks, so a
     vector that a third of all rows share fills many tasks. ``rows`` and
     ``queries`` have ``vec_id, v`` without zero vectors. A query whose lists hold
     fewer than ``k`` others gets the rest by reading all lists; with fewer
@@ -151,7 +151,8 @@ def search(rows: DataFrame, queries: DataFrame, k: int, index=None, boundary: fl
         pairs = sent.select(*key, "vec_id", "v").groupBy(*key).cogroup(posted.select(*key, "vec_id", "v").groupBy(*key))
         return merge_best(pairs.applyInPandas(score, SCHEMA), k, "double")
 
-    probed = with_lists(queries, index, probe, beam, MOST_LISTS)
+    every = max(map(len, index.values()), default=1)
+    probed = with_lists(queries, index, probe, beam or every, every)
     found = within(probed)
     short = found.groupBy(F.col("query_id").alias("vec_id")).count().where(F.col("count") >= k).select("vec_id")
     rest = queries.join(short, "vec_id", "left_anti").withColumn("dim", F.size("v"))
