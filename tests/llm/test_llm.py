@@ -390,6 +390,13 @@ def test_shingles_split_and_lower_ascii_only():
     assert not np.array_equal(shingle("É b"), shingle("é b"))
 
 
+def test_components_refuse_low_percent(spark):
+    for percent in (60, 72):
+        with pytest.raises(ValueError):
+            jaccard.linked_components(frame(spark, []), 4, percent)
+    assert jaccard.linked_components(frame(spark, []), 4, 73).count() == 0
+
+
 def test_components_odd(spark):
     got = jaccard.linked_components(frame(spark, ODD)).collect()
     assert len(got) == len(ODD) and {(r.doc_id, r.component_id) for r in got} == {(1, 1), (2, 2), (None, None), (3, 3), (4, 4)}
