@@ -75,3 +75,37 @@ reach(doc_id, other) as (
 select s.doc_id, len(s.s) as n_shingles, c.component_id
 from sets s join (select doc_id, min(other) as component_id from reach group by doc_id) c on s.doc_id = c.doc_id
 """
+
+
+def _codes() -> str:
+    """Six rounds over eight parts and sixteen entries, one after the other."""
+    at = []
+    for r in range(7):
+        at.append(f"""
+apart{r} as materialized (
+  select k, part, entry, cast(sum((x - c) * (x - c)) as bigint) as d from cells join book{r} using (part, pos) group by k, part, entry),
+placed{r} as materialized (
+  select k, part, entry, d from apart{r} qualify row_number() over (partition by k, part order by d, entry) = 1)""")
+        if r < 6:
+            at.append(f"""
+mean{r} as (
+  select part, entry, pos, cast(sum(x) as bigint) as s, count(*) as n from cells join placed{r} using (k, part) group by part, entry, pos),
+book{r + 1} as materialized (
+  select part, entry, pos, coalesce((s - ((s % n) + n) % n) // n, c) as c from book{r} left join mean{r} using (part, entry, pos))""")
+    return f"""
+with kept as materialized (
+  select row_number() over (order by vec_id nulls last, embedding) - 1 as k, vec_id, label, embedding, len(embedding) // 8 as width
+  from embeddings where len(embedding) > 0 and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)),
+cells as materialized (
+  select k, (i - 1) // width as part, (i - 1) % width as pos, cast(floor(4096 * embedding[i]::double) as bigint) as x
+  from (select k, width, embedding, unnest(range(1, len(embedding) + 1)) as i from kept)),
+book0 as materialized (select part, k as entry, pos, x as c from cells where k < 16),{",".join(at)},
+coded as (
+  select k, string_agg(printf('%02x', entry), '' order by part) as code, cast(sum(d) as bigint) as error from placed6 group by k)
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error,
+  (select sha256(string_agg(cast(c as varchar), ',' order by part, entry, pos)) from book6) as codebooks_sha256
+from coded join kept using (k)
+"""
+
+
+CODES = _codes()

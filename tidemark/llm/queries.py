@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from tidemark.llm import checks
 from tidemark.llm.ann import op5_ann
+from tidemark.llm.codes import op11_codes
 from tidemark.llm.html import op4_html
 from tidemark.llm.jaccard import op10_jaccard
 from tidemark.llm.licenses import op2_licenses
 from tidemark.llm.linededup import op9_line_dedup
 from tidemark.llm.mixing import op8_mixing
+from tidemark.llm.packing import op12_packing
 from tidemark.llm.pieces import op1_sentencepiece
 from tidemark.llm.quality import op6_quality
+from tidemark.llm.runs import op13_runs
 from tidemark.llm.topk import op7_topk
 from tidemark.llm.urls import op3_urls
 
@@ -25,6 +28,9 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_line_dedup": op9_line_dedup,
     "op10_jaccard": op10_jaccard,
+    "op11_codes": op11_codes,
+    "op12_packing": op12_packing,
+    "op13_runs": op13_runs,
 }
 
 SQL: dict[str, str] = {
@@ -32,4 +38,5 @@ SQL: dict[str, str] = {
     "op8_mixing": checks.MIXING,
     "op9_line_dedup": checks.LINE_DEDUP,
     "op10_jaccard": checks.JACCARD,
+    "op11_codes": checks.CODES,
 }
