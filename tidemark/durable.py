@@ -50,6 +50,53 @@ def durable(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete what was written under ``path``, in whatever file system it lies."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+class Scratch:
+    """Written intermediate frames by name, deleted as soon as they are replaced, dropped or left behind.
+
+    Drop a frame only after all that is computed from it has been written itself.
+    Leaving the ``with`` block, by an error or not, deletes all that is left; ``keep`` takes a frame out of that.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths, self.frames = spark, {}, {}
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.drop(*list(self.paths))
+
+    def put(self, name: str, df: DataFrame) -> DataFrame:
+        """Write ``df``; a frame put under the same name before, which ``df`` may read, is deleted then."""
+        path = scratch_path(self.spark, name)
+        try:
+            df.write.parquet(path)
+        except BaseException:
+            remove(self.spark, path)
+            raise
+        self.drop(name)
+        self.paths[name] = path
+        self.frames[name] = self.spark.read.schema(df.schema).parquet(path)
+        return self.frames[name]
+
+    def read(self, name: str) -> DataFrame:
+        return self.frames[name]
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            if name in self.paths:
+                remove(self.spark, self.paths.pop(name))
+
+    def keep(self, name: str) -> None:
+        self.paths.pop(name)
+
+
 def broadcast_within(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint ``df`` for broadcast only if it is counted to hold at most ``max_rows``.
 
