@@ -102,10 +102,16 @@ TEXTS = ["", None, "one", " two  spaces \n\n\tand  more  \n", "a\x1c \x1f!? \
          "long " * 40_000, "word " * 2047, "word " * 2046, "same text here", "same text here", "x" * 5000]
 
 
-def test_ids_by_chunks_are_those_of_whole_texts():
-    ids = packing.ids_of(packing.MODEL)
-    for text in TEXTS:
+def test_ids_are_those_of_the_tokenizer(spark):
+    ids = packing.ids_of(packing.MODEL, packing.RANKS)
+    rng = random.Random(8)
+    mixed = ["".join(rng.choice(["a", "Ab", " ", "  ", "\n", "\t", "\u00a0", "\u2003", "é", "'s", "12", "!?", "日", "<|endoftext|>"]) for _ in range(60)) for _ in range(300)]
+    ranges = [(0, 0x250), (0x400, 0x460), (0x2010, 0x2028), (0x3041, 0x3097), (0x30A1, 0x30FB), (0x4E00, 0x9FA6)]
+    anything = ["".join(chr(rng.randrange(*rng.choice(ranges))) for _ in range(400)) for _ in range(200)]
+    given = [r.text for r in spark.read.parquet(f"/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    for text in TEXTS + mixed + anything + given + ["ꟊ\U0001e900 a", " " * 5000 + "x" * 5000]:
         assert np.frombuffer(ids(text or ""), "<u4").tolist() == whole_ids(text)[:-1]
+    assert sum(map(ids.plain, given)) > 0.9 * len(given)
 
 
 def check_pieces(rows, texts, capacity=2048):
