@@ -308,6 +308,15 @@ def test_line_dedup_against_brute_force(spark):
     assert linededup.drop_spread_lines(frame(spark, [])).count() == 0
 
 
+def test_line_dedup_with_clashing_names(spark):
+    docs = frame(spark, [(i, "a line that stands on many sites", "en", f"s{i}", 1) for i in range(4)])
+    for name in ("_id", "_key", "_text_key", "_gone"):
+        docs = docs.withColumn(name, F.lit(name))
+    got = linededup.drop_spread_lines(docs)
+    assert got.columns == docs.columns + ["n_lines", "n_removed"]
+    assert {(r.doc_id, r.n_removed, r._id, r._gone) for r in got.collect()} == {(i, int(i > 0), "_id", "_gone") for i in range(4)}
+
+
 def test_line_dedup_passages_on_two_sites(spark):
     import corpus_pipeline
 
@@ -370,6 +379,41 @@ def test_components_against_brute_force(spark, frequent, monkeypatch):
     assert got == brute_components(rows, 4, 85)
 
 
+@pytest.mark.parametrize("percent", [73, 80, 85, 95])
+def test_prefix_keys_lose_no_link(percent):
+    """Linked sets share a key, whichever shingles are frequent."""
+    rng = np.random.default_rng(percent)
+    met = 0
+    for _ in range(3000):
+        n = int(rng.integers(1, 120))
+        a = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+        b = np.delete(a, rng.integers(0, len(a), int(rng.integers(0, 1 + len(a) // 8))))
+        b = np.unique(np.append(b, rng.integers(0, 2**64, int(rng.integers(0, 1 + len(a) // 8)), dtype=np.uint64)))
+        both = len(np.intersect1d(a, b))
+        if np.array_equal(a, b) or 100 * both < percent * (len(a) + len(b) - both):
+            continue
+        pool = np.union1d(a, b)
+        hot = pool[rng.random(len(pool)) < rng.choice([0.0, 0.3, 0.9, 1.0])]
+        keys = [np.concatenate(jaccard.prefix_keys(s, hot, percent)) for s in (a, b)]
+        met += 1
+        assert len(np.intersect1d(*keys))
+    assert met > 300
+
+
+def test_components_of_a_copy_group_and_an_outsider(spark, monkeypatch):
+    """A large group of near copies of long texts, one other text that shares a passage, and texts of frequent passages only."""
+    rng = np.random.default_rng(6)
+    base = [f"w{i}" for i in range(520)]
+    rows = [(i, " ".join(base[:i] + [f"n{i}"] + base[i + 1 :])) for i in range(40)]
+    rows += [(90, " ".join([f"x{i}" for i in range(500)] + base[100:180]))]
+    lines = [" ".join(f"l{j}x{i}" for i in range(12)) for j in range(30)]
+    rows += [(100 + i, " ".join(lines[j] for j in rng.permutation(30)[:20])) for i in range(30)]
+    rows += [(200 + i, rows[50 + i][1] + " end") for i in range(5)]
+    docs = frame(spark, [(i, t, None, None, None) for i, t in rows])
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.linked_components(docs).collect()}
+    assert got == brute_components(rows, 4, 85)
+
+
 def test_parity_bound_loses_no_link():
     rng = np.random.default_rng(3)
     for size in (1, 3, 40, 900, 5000):

@@ -11,11 +11,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.durable import durable
+from tidemark.durable import Scratch, broadcast_within, durable  # noqa: F401
 
-CELLS = 1 << 20  # size of the table of shingle counts: fixed, whatever the input
-FREQUENT = 64  # a cell is frequent if it holds so many more than four times the mean
-SINGLE_FROM, PAIRS_TO, RATIO_AT = 340, 471, 400  # sizes that index frequent shingles singly, and by pairs
+FREQUENT = 8  # a shingle that more sets than this are found to have is of the frequent class
+KEYS_SENT = 1_000_000  # so many shingle hashes at most are broadcast, some 10 MB
+LEAST_PERCENT = 73  # under about 70, sets could link without sharing a pair of frequent shingles
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)
 
 
@@ -80,81 +80,164 @@ def least_apart(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
-def mean_and_frequent(docs: DataFrame, words: int) -> np.ndarray:
-    """Which of ``CELLS`` cells of shingle hashes are frequent, as a packed table of fixed size."""
+def base_length(n: int, percent: int) -> int:
+    """So many shingles, the first in any common order, hold one that is shared with any set it links to."""
+    return n - overlap_needed(n, percent) + 1
+
+
+def probe_length(n: int, percent: int) -> int:
+    """Shingles that are looked at for frequent ones; as long as a third of them is not, the rest holds the prefix."""
+    return base_length(n, percent) * 3 // 2 + 1
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingle, total = Shingler(words), np.zeros(CELLS, np.int64)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                held = [shingle(t) % np.uint64(CELLS) for t in batch.column(0).slice(at, 512).to_pylist()]
-                total += np.bincount(np.concatenate(held).astype(np.int64), minlength=CELLS)
-        at = np.flatnonzero(total)
-        for i in range(0, len(at), 65_536):
-            part = at[i : i + 65_536]
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(total[part])], ["cell", "n"])
-
-    cells = docs.select("text").mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    cells = durable(cells)
-    mean = (cells.agg(F.sum("n")).first()[0] or 0) / CELLS
-    frequent = np.zeros(CELLS, bool)
-    # At most a quarter of the cells can hold four times the mean.
-    frequent[[r.cell for r in cells.where(F.col("n") > 4 * mean + FREQUENT).select("cell").collect()]] = True
-    return np.packbits(frequent)
-
-
-def signatures(docs: DataFrame, words: int, percent: int, table) -> DataFrame:
-    """``doc_id, n, node, bits, rare, often``: set size, hash and parities of the set, and its extended prefix.
-
-    The order is by class, rare first, then by hash. The prefix is one longer than
-    a shared shingle needs, so linked sets share two of it (or all they have).
-    """
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(table)
+
+def unlike_at_most(n: int, percent: int) -> int:
+    """The most shingles that a set of ``n`` and a set it links to can have in one of them only."""
+    return n * (100 - percent) // percent
+
+
+def signatures(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """``doc_id, n, node, bits, probe``: set size, hash and parities of the set, and its first shingles by hash, half as many again as a prefix has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingle, frequent = Shingler(words), np.unpackbits(sent.value).astype(bool)
+        shingle = Shingler(words)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                sizes, sigs, bits, rare, often = [], [], [], [], []
+                sizes, nodes, bits, probes = [], [], [], []
                 for text in part.column(1).to_pylist():
                     s = shingle(text)
                     sizes.append(len(s))
-                    sigs.append(node_of(s) if len(s) else None)
+                    nodes.append(node_of(s) if len(s) else None)
                     bits.append(parity_bits(s) if len(s) else None)
-                    hot = frequent[(s % np.uint64(CELLS)).astype(np.int64)]
-                    length = len(s) - overlap_needed(len(s), percent) + 2
-                    cold = s[~hot][:length]
-                    rare.append(cold.view(np.int64))
-                    often.append(s[hot][: length - len(cold)].view(np.int64))
+                    probes.append(s[: probe_length(len(s), percent)].view(np.int64) if len(s) else [])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(sizes, pa.int64()), pa.array(sigs, pa.int64()),
-                     pa.array(bits, pa.binary()),
-                     pa.array(rare, pa.list_(pa.int64())), pa.array(often, pa.list_(pa.int64()))],
-                    ["doc_id", "n", "node", "bits", "rare", "often"])
+                    [part.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(bits, pa.binary()),
+                     pa.array(probes, pa.list_(pa.int64()))], ["doc_id", "n", "node", "bits", "probe"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n long, node long, bits binary, probe array<long>")
+
+
+def prefix_keys(s: np.ndarray, hot: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The rare shingles of a set's prefix, and hashes of neighbouring frequent ones if it reaches these.
+
+    The order is rare before frequent, then by hash. If the first common shingle of linked sets is rare, it is a key of both. If it is frequent, all that they share
+    is, and both have fewer rare shingles than the base is long. Extended to hold ``d + 2`` common shingles, where ``d`` bounds those
+    of one set only, their frequent parts have a pair of common shingles with nothing between, in either.
+    """
+    base = base_length(len(s), percent)
+    frequent = np.isin(s, hot, assume_unique=True)
+    rare = s[~frequent]
+    if len(rare) >= base:
+        return rare[:base], s[:0]
+    often = s[frequent][: base + unlike_at_most(len(s), percent) + 1 - len(rare)]
+    pairs = ((often[:-1] * np.uint64(MIX[1])) ^ often[1:]) * np.uint64(MIX[2])
+    return rare, pairs ^ (pairs >> np.uint64(31))
+
+
+def whole_sets(texts: DataFrame, words: int) -> DataFrame:
+    """``node, n, shingles`` of the given ``node, text``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingle = Shingler(words)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                sets = [shingle(t).view(np.int64) for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(sets, pa.list_(pa.int64()))],
+                                                 ["node", "n", "shingles"])
+
+    return texts.select("node", "text").mapInArrow(run, "node long, n long, shingles array<long>")
+
+
+def class_keys(sets: DataFrame, hot: DataFrame, percent: int) -> DataFrame:
+    """``node, n, rare, pairs``: the prefix keys of whole sets, of which ``hot`` (``node, hot``) lists the frequent shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = []
+            for s, known in zip(batch.column(2), batch.column(3)):
+                shingles, frequent = (x.values.to_numpy(zero_copy_only=False).view(np.uint64) for x in (s, known))
+                keys.append([k.view(np.int64) for k in prefix_keys(shingles, frequent, percent)])
+            lists = [pa.array([k[i] for k in keys], pa.list_(pa.int64())) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *lists], ["node", "n", "rare", "pairs"])
+
+    joined = sets.join(hot, "node").select("node", "n", "shingles", "hot")
+    return joined.mapInArrow(run, "node long, n long, rare array<long>, pairs array<long>")
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n long, node long, bits binary, rare array<long>, often array<long>")
 
+def shared_only(index: DataFrame) -> DataFrame:
+    """Postings whose key stands more than once."""
+    return index.join(index.groupBy("key").agg(F.count("*").alias("sets")).where("sets > 1").select("key"), "key", "left_semi")
 
-def postings(reps: DataFrame) -> DataFrame:
-    """``key, node, n``: rare shingles of a prefix singly; frequent ones by pairs, in long sets singly.
 
-    Linked sets share two shingles of their prefixes. If one is rare, it is a key
-    of both; else the pair is. A long set would have too many pairs: from
-    ``SINGLE_FROM`` shingles it also gives frequent ones singly, from
-    ``PAIRS_TO`` only so. The two sizes are farther apart than linked sets can be.
+def in_prefix(placed: DataFrame, held: DataFrame, percent: int) -> DataFrame:
+    """``key, node, n`` of those rare probe shingles (``key, node, n, pos``) before which fewer rare ones stand than the base is long.
+
+    ``held`` lists the places (``node, hot``) of the frequent shingles, which are not among ``placed``.
+    """
+    before = F.when(F.col("hot").isNull(), 0).otherwise(F.size(F.filter("hot", lambda h: h < F.col("pos"))))
+    base = F.expr(f"n - (n * {percent} + 99) div 100 + 1")
+    return placed.join(held, "node", "left").where(F.col("pos") - before < base).select("key", "node", "n")
+
+
+def rare_prefixes(scratch: Scratch, probes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """``key, node, n`` of the rare shingles in the prefixes; the frequent shingles, where they stand, and the nodes whose probe is too short to tell the prefix."""
+    placed = probes.select("node", "n", F.posexplode("probe").alias("pos", "key"))
+    counts = scratch.put("counts", placed.groupBy("key").agg(F.count("*").alias("sets")).where("sets > 1"))
+    met = scratch.put("met", placed.join(counts, "key"))
+    hot = scratch.put("hot", counts.where(F.col("sets") > FREQUENT).select("key"))
+    held = scratch.put("held", met.where(F.col("sets") > FREQUENT).groupBy("node").agg(F.first("n").alias("n"), F.collect_list("pos").alias("hot")))  # of one probe
+    base = F.expr(f"n - (n * {percent} + 99) div 100 + 1")
+    deep = scratch.put("deep", held.where(F.least("n", F.floor(base * 3 / 2) + 1) - F.size("hot") < base).select("node"))
+    held = held.select("node", "hot")
+    rare = met.where(F.col("sets") <= FREQUENT).join(deep, "node", "left_anti")
+    rare = scratch.put("rare", in_prefix(rare.select("key", "node", "n", "pos"), held, percent))
+    scratch.drop("counts", "met")
+    return rare, hot, held, deep
+
+
+def deep_keys(scratch: Scratch, texts: DataFrame, probes: DataFrame, hot: DataFrame, held: DataFrame, deep: DataFrame,
+              words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Postings of the sets that have mostly frequent shingles, with what else they meet: rare ones, and pairs of frequent ones.
+
+    All shingles of these sets are counted. One that more than ``FREQUENT`` of them have is frequent too, unless it stands in the prefix
+    of another set as a rare one.
     """
-    often, n = F.col("often"), F.col("n")
-    pairs = F.flatten(F.transform(often, lambda a, i: F.transform(
-        F.slice(often, i + 2, F.size(often)), lambda b: F.xxhash64(a, b))))
-    short_alone = F.when(F.size("often") == 1, often).otherwise(F.array().cast("array<long>"))
-    keys = F.concat(
-        F.col("rare"), F.when(n < PAIRS_TO, F.concat(pairs, F.when(n <= 1, short_alone).otherwise(F.array().cast("array<long>"))))
-        .otherwise(F.array().cast("array<long>")),
-        F.when(n > SINGLE_FROM, often).otherwise(F.array().cast("array<long>")))
-    return reps.select(F.explode(F.array_distinct(keys)).alias("key"), "node", "n")
+    sets = scratch.put("sets", whole_sets(texts, words))
+    each = sets.select("node", "n", F.explode("shingles").alias("key"))
+    counts = scratch.put("counts", each.groupBy("key").agg(F.count("*").alias("sets")))
+    placed = probes.select("node", "n", F.posexplode("probe").alias("pos", "key"))
+    new = broadcast_within(scratch.put("new", counts.select("key").join(hot, "key", "left_anti")), KEYS_SENT)
+    met = placed.join(new, "key", "left_semi").join(deep, "node", "left_anti")
+    late = scratch.put("late", in_prefix(met, held, percent))
+    more = counts.where(F.col("sets") > FREQUENT).select("key").join(late.select("key"), "key", "left_anti")
+    frequent = scratch.put("frequent", hot.unionAll(more).distinct())
+    lists = each.join(frequent, "key", "left_semi").groupBy("node").agg(F.collect_list("key").alias("hot"))  # of one set
+    keys = scratch.put("keys", class_keys(sets, lists, percent))
+    rare = keys.select(F.explode("rare").alias("key"), "node", "n").unionAll(late)
+    pairs = keys.select(F.explode("pairs").alias("key"), "node", "n")
+    return rare, pairs
+
+
+def pivot_pairs(index: DataFrame, comp: DataFrame, salt: int, percent: int) -> DataFrame:
+    """``member, pivot``: for each key its sets with one of them, where the two are in different components."""
+    placed = index.join(comp, "node")
+    pivots = placed.groupBy("key").agg(
+        F.min(F.struct(F.xxhash64(F.lit(salt), "node").alias("h"), "node", "n", "comp")).alias("p"))
+    pairs = placed.select("key", F.col("node").alias("member"), F.col("n").alias("na"), "comp").join(
+        pivots.select("key", F.col("p.node").alias("pivot"), F.col("p.n").alias("nb"), F.col("p.comp").alias("far")), "key")
+    return pairs.where((F.col("comp") != F.col("far")) & within(percent)).select("member", "pivot").distinct()
+
+
+def crossing_pairs(index: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
+    """``member, pivot``: all pairs of a key between two components; components are paired first, so none is paired with itself."""
+    placed = index.join(comp, "node")
+    held = placed.select("key", "comp").distinct()
+    met = held.join(held.select("key", F.col("comp").alias("far")), "key").where("comp < far")
+    left = placed.select("key", "comp", F.col("node").alias("member"), F.col("n").alias("na")).join(met, ["key", "comp"])
+    right = placed.select("key", F.col("comp").alias("far"), F.col("node").alias("pivot"), F.col("n").alias("nb"))
+    return left.join(right, ["key", "far"]).where(within(percent)).select("member", "pivot").distinct()
 
 
 def possible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
@@ -203,26 +286,30 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
     return met.mapInArrow(run, "a long, b long")
 
 
-def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """``node, comp``: the smallest node reachable; labels fall to the smallest neighbour's, then jump."""
+def components(scratch: Scratch, nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """``node, comp``, written as ``comp``: the smallest node reachable; labels fall to the smallest neighbour's, then jump."""
     if links.isEmpty():
-        return nodes.select("node", F.col("node").alias("comp"))
-    both = durable(links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    ends = both.select(F.col("a").alias("node")).distinct()
-    label = durable(ends.withColumn("comp", F.col("node")))
-    while True:
+        return scratch.put("comp", nodes.select("node", F.col("node").alias("comp")))
+    both = scratch.put("both", links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    label = scratch.put("label", both.select(F.col("a").alias("node")).distinct().withColumn("comp", F.col("node")))
+    changed = True
+    while changed:
         near = both.join(label.select(F.col("node").alias("b"), "comp"), "b").groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("near"))
         low = label.join(near, "node").select("node", F.col("comp").alias("old"), F.least("comp", "near").alias("mid"))
         jump = label.select(F.col("node").alias("mid"), F.col("comp").alias("far"))
-        new = durable(low.join(jump, "mid").select("node", "old", F.least("mid", "far").alias("comp")))
+        new = scratch.put("label", low.join(jump, "mid").select("node", "old", F.least("mid", "far").alias("comp")))
         changed = not new.where("old != comp").isEmpty()
         label = new.select("node", "comp")
-        if not changed:
-            return nodes.join(label, "node", "left").select("node", F.coalesce("comp", "node").alias("comp"))
+    comp = scratch.put("comp", nodes.join(label, "node", "left").select("node", F.coalesce("comp", "node").alias("comp")))
+    scratch.drop("both", "label")
+    return comp
 
 
 def own_texts(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """``node, text``: for each wanted ``doc_id, node`` the text that has this set."""
+    """``node, text``: for each wanted ``first, node`` (written) the text of document ``first`` that has this set.
+
+    Texts are moved only if more are wanted than can be sent to where they lie.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler(words)
@@ -230,11 +317,8 @@ def own_texts(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
             keep = [node_of(shingle(t)) == n for n, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    rows = docs.select(F.col("doc_id").alias("_id"), "text").join(wanted, F.col("_id") == F.col("doc_id"))
-    repeated = wanted.groupBy("doc_id").count().where("count > 1").select("doc_id")
-    alone = rows.join(repeated, "doc_id", "left_anti").select("node", "text")
-    several = rows.join(repeated, "doc_id", "left_semi").select("node", "text").mapInArrow(run, "node long, text string")
-    return alone.unionAll(several)
+    rows = docs.select("doc_id", "text").join(broadcast_within(wanted.withColumnRenamed("first", "doc_id")), "doc_id").select("node", "text")
+    return rows.mapInArrow(run, "node long, text string").dropDuplicates(["node"])
 
 
 def within(percent: int) -> Column:
@@ -245,57 +329,64 @@ def within(percent: int) -> Column:
 def linked_components(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every document; exact.
 
-    Equal sets fall together first. Postings then give pairs with one pivot per
-    key, twice with other pivots; these join most of a near-copy group. Every
-    further pair of a key whose ends are still in different components is
+    Equal sets fall together first. Shingles of more than ``FREQUENT`` sets are of the frequent class and come last in the prefixes;
+    rare ones are keys singly, frequent ones by pairs. One pivot per
+    key, twice with other pivots, joins most of a near-copy group. Every
+    further pair of a key whose ends are in different components is
     checked, first by a bound on parities, then by its texts, so no link between components is missed, and no group of copies is
     expanded into its pairs. Null and empty texts have an empty set and stay alone, as do
     null ids (null component). Rows that repeat an id with another text share the
-    smallest component of its texts; rows come back once each. Sizes that may be similar but share no kind of
-    key would lose links under a ``percent`` of 73, which is refused.
+    smallest component of its texts; rows come back once each. A ``percent`` under 73 is refused.
+    Written intermediates are deleted as soon as nothing reads them any more.
     """
-    if percent * PAIRS_TO <= 100 * SINGLE_FROM:
-        raise ValueError(f"percent must be above {100 * SINGLE_FROM / PAIRS_TO:.1f}, not {percent}")
-    table = mean_and_frequent(docs, words)
-    all_rows = durable(signatures(docs, words, percent, table))
-    known = all_rows.where("n > 0 and doc_id is not null")
-    firsts = durable(known.groupBy("node").agg(F.min("doc_id").alias("doc_id")))
-    nodes = firsts.select("node")
-    reps = known.join(firsts, ["node", "doc_id"]).dropDuplicates(["node"])
-    index = postings(reps)
-    shared = index.groupBy("key").count().where("count > 1").select("key")
-    index = durable(index.join(shared, "key", "left_semi"))
-    wanted = firsts.join(index.select("node").distinct(), "node", "left_semi")
-    texts = durable(own_texts(docs, wanted, words))
-    sketches = durable(known.join(wanted, ["node", "doc_id"]).dropDuplicates(["node"]).select("node", "n", "bits"))
-    # Sets that share an id are linked by it: rows may repeat an id with another text.
-    ids = known.select("doc_id", "node").distinct().groupBy("doc_id").agg(
-        F.min("node").alias("low"), F.max("node").alias("high"), F.collect_set("node").alias("all"))
-    links = durable(ids.where("low != high").select(F.explode("all").alias("a"), F.col("low").alias("b")).where("a != b"))
-    comp = durable(components(nodes, links))
-    for salt in (1, 2):
-        placed = index.join(comp, "node")
-        pivots = placed.groupBy("key").agg(
-            F.min(F.struct(F.xxhash64(F.lit(salt), "node").alias("h"), "node", "n", "comp")).alias("p"))
-        pairs = placed.select("key", F.col("node").alias("member"), F.col("n").alias("na"), "comp").join(
-            pivots.select("key", F.col("p.node").alias("pivot"), F.col("p.n").alias("nb"), F.col("p.comp").alias("far")), "key")
-        pairs = pairs.where((F.col("comp") != F.col("far")) & within(percent)).select("member", "pivot").distinct()
-        links = durable(links.unionAll(verified(possible(pairs, sketches, percent), texts, words, percent)))
-        comp = durable(components(nodes, links))
-    placed = index.join(comp, "node")
-    mixed = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("key")
-    left = durable(placed.join(mixed, "key", "left_semi"))
-    rest = (left.select("key", F.col("node").alias("member"), F.col("n").alias("na"), "comp")
-            .join(left.select("key", F.col("node").alias("pivot"), F.col("n").alias("nb"), F.col("comp").alias("far")), "key")
-            .where((F.col("member") < F.col("pivot")) & (F.col("comp") != F.col("far")) & within(percent))
-            .select("member", "pivot").distinct())
-    links = durable(links.unionAll(verified(possible(rest, sketches, percent), texts, words, percent)))
-    comp = components(nodes, links)
-    smallest = durable(comp.join(firsts, "node").groupBy("comp").agg(F.min("doc_id").alias("component_id")))
-    of_node = comp.join(smallest, "comp").select(F.col("node").alias("_node"), "component_id")
-    rows = all_rows.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.col("node")).alias("node"))
-    out = rows.join(of_node, F.col("node") == F.col("_node"), "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    if percent < LEAST_PERCENT:
+        raise ValueError(f"percent must be at least {LEAST_PERCENT}, not {percent}")
+    with Scratch(docs.sparkSession) as scratch:
+        sets = scratch.put("signatures", signatures(docs, words, percent))
+        all_rows = scratch.put("rows", sets.select("doc_id", "n", "node"))
+        known = all_rows.where("n > 0 and doc_id is not null")
+        firsts = scratch.put("firsts", known.groupBy("node").agg(F.min("doc_id").alias("first")))
+        nodes = firsts.select("node")
+        wide = sets.where("n > 0 and doc_id is not null").join(firsts, "node").where("doc_id = first")
+        probes = scratch.put("probes", wide.select("node", "n", "bits", "probe").dropDuplicates(["node"]))
+        scratch.drop("signatures")
+        sketches, probes = probes.select("node", "n", "bits"), probes.select("node", "n", "probe")
+        # Linked sets share a shingle of their probes; what first meets in other classes does not link.
+        rare, hot, held, deep = rare_prefixes(scratch, probes, percent)
+        index = rare
+        if not deep.isEmpty():
+            texts = scratch.put("texts", own_texts(docs, scratch.put("ends", firsts.join(deep, "node", "left_semi")), words))
+            more, pairs = deep_keys(scratch, texts, probes, hot, held, deep, words, percent)
+            index = rare.unionAll(more).distinct().unionAll(pairs)
+        index = scratch.put("index", shared_only(index))
+        scratch.drop("rare", "hot", "held", "deep", "texts", "sets", "counts", "new", "late", "frequent", "keys")
+        # Sets that share an id are linked by it: rows may repeat an id with another text.
+        several = known.groupBy("doc_id").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low != high")
+        links = scratch.put("links", known.select("doc_id", "node").join(several, "doc_id").where("node != low")
+                            .select(F.col("node").alias("a"), F.col("low").alias("b")).distinct())
+        comp = components(scratch, nodes, links)
+
+        def linked(pairs: DataFrame) -> None:
+            nonlocal links, comp
+            pairs = scratch.put("pairs", possible(pairs, sketches, percent))
+            if not pairs.isEmpty():
+                ends = pairs.select(F.explode(F.array("member", "pivot")).alias("node")).distinct()
+                texts = scratch.put("texts", own_texts(docs, scratch.put("ends", firsts.join(ends, "node", "left_semi")), words))
+                links = scratch.put("links", links.unionAll(verified(pairs, texts, words, percent)))
+                comp = components(scratch, nodes, links)
+            scratch.drop("pairs", "ends", "texts")
+
+        for salt in (1, 2):
+            linked(pivot_pairs(index, comp, salt, percent))
+        linked(crossing_pairs(index, comp, percent))
+        scratch.drop("index", "probes", "links")
+        smallest = comp.join(firsts, "node").groupBy("comp").agg(F.min("first").alias("component_id"))
+        of_node = comp.join(smallest, "comp").select(F.col("node").alias("_node"), "component_id")
+        rows = all_rows.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.col("node")).alias("node"))
+        out = rows.join(of_node, F.col("node") == F.col("_node"), "left")
+        out = scratch.put("out", out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
+        scratch.keep("out")
+        return out
 
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
