@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.durable import durable
+from tidemark.durable import Scratch, durable
 from tidemark.llm import jaccard, linededup, mixing, pieces, quality
 
 
@@ -60,6 +60,8 @@ ORACLE_SQL: str | None = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table; each result is written and reread."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES[:-1]:
-        docs = durable(stage(spark, docs, sf_dir))
+    with Scratch(spark) as scratch:
+        for _, stage in STAGES[:-1]:
+            docs = scratch.put("docs", stage(spark, docs, sf_dir))
+        scratch.keep("docs")
     return STAGES[-1][1](spark, docs, sf_dir)
