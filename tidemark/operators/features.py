@@ -8,8 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.durable import durable
-from tidemark.sources.writers import without_days
+from tidemark.sources.writers import days_shared, without_days
 
 # Every category becomes a column; more than this many have to be asked for, in
 # case a key was taken for a category.
@@ -27,10 +26,13 @@ def distinct_days(df: DataFrame, day_col: str) -> DataFrame:
 
 
 def new_days_only(df: DataFrame, existing: DataFrame | None, day_col: str) -> DataFrame:
-    """Rows of days that ``existing`` does not hold; all rows if it is missing."""
+    """Rows of days that ``existing`` does not hold; all rows if it is missing.
+
+    Of ``existing`` only the days from the first to the last of ``df`` are read.
+    """
     if existing is None:
         return df
-    return without_days(df, durable(distinct_days(existing, day_col)), day_col)
+    return without_days(df, days_shared(df, existing, day_col), day_col)
 
 
 def clean_name(name: str) -> str:

@@ -22,6 +22,7 @@ from tidemark.operators import (
     synth,
     training,
 )
+from tidemark.plans import flows
 from tidemark.plans.star import RUN_DATE, load, sales_star
 from tidemark.sources import keyed, readers, writers
 
@@ -250,6 +251,88 @@ def upsert_by_key(spark, sf_dir):
     return readers.read_table(spark, path)
 
 
+_ORDER_YEARS = "cast(date_trunc('year', o_orderdate) as date) as day"
+
+
+def _orders_by_year(spark, sf_dir, *columns) -> DataFrame:
+    return load(spark, sf_dir, "orders").select(
+        *columns, F.trunc(F.col("o_orderdate").cast("date"), "year").alias("day"))
+
+
+@query(f"""
+with o as (select *, {_ORDER_YEARS} from orders)
+select o_orderkey, o_custkey, case when year(day) in (1998, 1999) then o_totalprice / 2 else o_totalprice end
+    as o_totalprice, case when year(day) in (1998, 1999) then o_orderpriority end as note, day
+from o where year(day) < 2000
+union all
+select -o_orderkey, o_custkey, o_totalprice, o_orderstatus, day from o where year(day) = 1999
+""")
+def upsert_partitioned(spark, sf_dir):
+    """Two of the years are touched; a column comes, another becomes wider."""
+    path, keys = scratch_path(spark, "orders"), ["o_orderkey", "day"]
+    orders = _orders_by_year(spark, sf_dir, "o_orderkey", "o_custkey", "o_totalprice",
+                             "o_orderpriority", "o_orderstatus")
+    start = orders.where(F.year("day") < 2000).select(
+        "o_orderkey", F.col("o_custkey").cast("int").alias("o_custkey"), "o_totalprice", "day")
+    keyed.create_keyed_table(start, path, keys, partition_by="day")
+    some = orders.where(F.year("day").isin(1998, 1999))
+    halved = some.select("o_orderkey", "o_custkey", (F.col("o_totalprice") / 2).alias("o_totalprice"),
+                         F.col("o_orderpriority").alias("note"), "day")
+    added = some.where(F.year("day") == 1999).select(
+        (-F.col("o_orderkey")).alias("o_orderkey"), "o_custkey", "o_totalprice",
+        F.col("o_orderstatus").alias("note"), "day")
+    keyed.upsert_table(spark, path, halved.unionAll(added), keys, partition_by="day")
+    return readers.read_table(spark, path)
+
+
+@query(f"""
+select o_orderkey, o_custkey, o_totalprice, day,
+  case when year(day) in (1996, 1998) then o_orderpriority end as remark,
+  case when year(day) >= 1997 then o_orderstatus end as state
+from (select *, {_ORDER_YEARS} from orders) where o_custkey % 7 <> 0 or year(day) not in (1996, 1998)
+""")
+def append_widening(spark, sf_dir):
+    """The daily job over years: a column is empty at first, then has values, or nulls in some rows,
+    is empty again, another comes late, and one gets wider."""
+    raw, path = scratch_path(spark, "raw"), scratch_path(spark, "enriched")
+    years = F.year("day")
+    orders = _orders_by_year(spark, sf_dir, "o_orderkey", "o_custkey", "o_totalprice",
+                             "o_orderpriority", "o_orderstatus")
+    rows = orders.select(
+        "o_orderkey", F.col("o_custkey").cast("int").alias("o_custkey"), "o_totalprice",
+        F.when(years.isin(1996, 1998) & (F.col("o_custkey") % 7 != 0), F.col("o_orderpriority")).alias("remark"),
+        F.when(years >= 1997, F.col("o_orderstatus")).alias("state"), "day")
+    writers.write_table(rows, raw, partition_by="day", rebalance=True)
+    days = [r.day for r in rows.select("day").distinct().orderBy("day").collect()]
+    for day in [*days[:-1], *days[:-1]]:  # the second time adds nothing
+        flows.house_enriched(spark, raw, path, ["o_orderkey", "day"], day, day_col="day")
+    last = rows.where(F.col("day") == F.lit(days[-1])).withColumn("o_custkey", F.col("o_custkey").cast("long"))
+    writers.append_new_days(cleaning.clean(last), path, day_col="day", day=days[-1], widen=True)
+    return readers.read_table(spark, path)
+
+
+@query(f"""
+select o_orderkey, o_custkey, day,
+  cast(o_orderpriority = '1-URGENT' as int) as "1-URGENT", cast(o_orderpriority = '2-HIGH' as int) as "2-HIGH",
+  cast(o_orderpriority = '3-MEDIUM' as int) as "3-MEDIUM",
+  cast(o_orderpriority = '4-NOT SPECIFIED' as int) as "4-NOTSPECIFIED", cast(o_orderpriority = '5-LOW' as int) as "5-LOW"
+from (select *, {_ORDER_YEARS} from orders)
+where case when year(day) < 1998 then o_orderpriority not in ('1-URGENT', '5-LOW') else o_orderpriority <> '2-HIGH' end
+""")
+def feature_increments(spark, sf_dir):
+    """Three runs: a first one, one with categories that are new and one that is missing, and one again."""
+    path, store, keys = scratch_path(spark, "features"), scratch_path(spark, "store"), ["o_orderkey", "day"]
+    orders = _orders_by_year(spark, sf_dir, "o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice")
+    priority = F.col("o_orderpriority")
+    historical = orders.where((F.year("day") < 1998) & ~priority.isin("1-URGENT", "5-LOW"))
+    daily = orders.where((F.year("day") >= 1998) & (priority != "2-HIGH"))
+    for rows in (daily.limit(0), daily, daily):
+        flows.build_features(spark, historical, rows, path, store, keys, "o_orderpriority", "o_totalprice", "day")
+    built, merged = (flows.read_features(spark, p, flows.registry_of(path), "o_orderpriority") for p in (path, store))
+    # The two tables hold the same rows: what one has more often than the other would be added.
+    return merged.unionByName(built.exceptAll(merged.select(built.columns)))
+
+
 @query("select c_custkey, c_nationkey, c_acctbal from customer")
 def feature_table(spark, sf_dir):
     path = scratch_path(spark, "features")

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.durable import durable
 from tidemark.operators import drift, features, quality, sales, scoring, stability, suites, synth
 from tidemark.operators import training as tr
+from tidemark.operators.categories import register, registered, with_all_indicators
 from tidemark.operators.cleaning import clean, drop_duplicate_keys
 from tidemark.sources import keyed, readers, writers
 
@@ -102,14 +103,15 @@ def house_enriched(spark: SparkSession, raw_path: str, path: str, keys: Sequence
                    day=None, day_col: str = "Date") -> DataFrame:
     """Clean one day and append it once, or clean everything and rebuild.
 
-    Returns the check results of the layer.
+    Cleaning drops the columns that are empty on that day. One that has values later is
+    added to the layer then, with null in the days before. Returns the check results of the layer.
     """
     raw = tr.in_date_range(readers.read_table(spark, raw_path), day_col, day=day)
     if day is None:
         writers.rebuild_table(clean(raw), path, partition_by=day_col, rebalance=True)
     elif not writers.holds_day(spark, path, day, day_col):
         # Cleaning looks at the data to find empty columns: not done in vain.
-        writers.append_new_days(clean(raw), path, day_col=day_col, day=day)
+        writers.append_new_days(clean(raw), path, day_col=day_col, day=day, widen=True)
     layer = readers.read_table(spark, path)
     return quality.run_suite(layer, suites.house_suite(layer.columns, keys, day_col),
                              suite="enriched", table="house_price")
@@ -118,22 +120,46 @@ def house_enriched(spark: SparkSession, raw_path: str, path: str, keys: Sequence
 def build_features(spark: SparkSession, historical: DataFrame, daily: DataFrame,
                    features_path: str, store_path: str, keys: Sequence[str], category: str,
                    target: str, day_col: str = "Date",
-                   categories: Sequence | None = None) -> None:
+                   categories: Sequence | None = None, *, registry_path: str | None = None,
+                   mode: str = "all", day=None) -> None:
     """Features of the days not built yet, gated, appended and merged by key.
 
     A key includes its day, and only new days are built, so checking the new
-    rows checks the table.
+    rows checks the table. Mode ``all`` takes both tables, ``today`` the rows of ``day`` in the
+    daily one. The indicator columns are those of the registry (beside the features unless a path is
+    given), which the new rows may add to: every increment has all columns known so far, and
+    both tables widen by new ones. Read them with ``read_features``. The store comes
+    first, so a run that stops in between is made good by the next. A re-run adds nothing.
     """
-    combined = features.combine_by_name(historical, daily)
+    if mode not in ("all", "today"):
+        raise ValueError(f"mode must be all or today, not {mode}")
+    if mode == "today":
+        rows = tr.in_date_range(daily, day_col, day=day)
+    else:
+        rows = features.combine_by_name(historical, daily)
     existing = readers.read_if_exists(spark, features_path)
-    fresh = features.new_days_only(combined, existing, day_col)
+    fresh = durable(features.new_days_only(rows, existing, day_col))
+    if fresh.isEmpty() and existing is not None:
+        return
+    if categories is None:
+        categories = register(fresh, category, registry_path or registry_of(features_path))
     encoded = features.one_hot(fresh, category, target, categories)
     built = durable(drop_duplicate_keys(encoded, list(keys)))
     quality.require_passed(quality.run_suite(
         built, suites.feature_suite(built.columns, keys, day_col),
         suite="features", table="features"))
-    writers.write_table(built, features_path, partition_by=day_col, mode="append", rebalance=True)
     keyed.upsert_table(spark, store_path, built, keys, partition_by=day_col)
+    writers.append_new_days(built, features_path, day_col=day_col, rebalance=True, widen=True)
+
+
+def registry_of(features_path: str) -> str:
+    """Where the categories of a feature table are registered unless a path is given."""
+    return f"{features_path.rstrip('/')}_categories"
+
+
+def read_features(spark: SparkSession, path: str, registry_path: str, category: str) -> DataFrame:
+    """A feature table with an indicator for every category registered so far, 0 in rows built before it was."""
+    return with_all_indicators(readers.read_table(spark, path), registered(spark, registry_path, category))
 
 
 def training_table(historical: DataFrame, daily: DataFrame | None, path: str,

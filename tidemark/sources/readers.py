@@ -9,10 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidemark.sources import schema
+
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
-    """A whole lake table by path."""
-    return spark.read.format(fmt).options(**options).load(path)
+    """A whole lake table by path, with its stored schema if it has one."""
+    reader = spark.read.format(fmt).options(**options)
+    known = schema.stored(spark, path) if fmt in schema.FORMATS else None
+    return (reader if known is None else reader.schema(known)).load(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.durable import broadcast_within, durable, scratch_path
+from tidemark.sources import schema
 from tidemark.sources.readers import read_if_exists, read_table
 
 FILE_FORMATS = ("parquet", "orc", "json", "csv", "text")
@@ -90,6 +91,15 @@ def days_present(table: DataFrame | None, day_col: str, first=None,
     return durable(held.distinct())
 
 
+def days_shared(df: DataFrame, table: DataFrame, day_col: str) -> DataFrame:
+    """The days of ``table`` from the first to the last of ``df``, and null; other partitions are not read."""
+    first, last = df.agg(F.min(day_col), F.max(day_col)).first()
+    near = F.col(day_col).isNull()
+    if first is not None:
+        near = near | F.col(day_col).between(F.lit(first), F.lit(last))
+    return durable(table.where(near).select(day_col).distinct())
+
+
 def holds_day(spark: SparkSession, path: str, day: dt.date | str, day_col: str = "Date",
               fmt: str = "parquet") -> bool:
     """Whether the table partitioned by day has a row of ``day``.
@@ -122,6 +132,7 @@ def append_new_days(
     fmt: str = "parquet",
     rebalance: bool = False,
     day: dt.date | str | None = None,
+    widen: bool = False,
 ) -> None:
     """Append only the days the target does not hold, so a re-run adds nothing.
 
@@ -129,8 +140,9 @@ def append_new_days(
     is computed at all, and otherwise only that partition has been looked at.
 
     Rows take the target's columns and types: missing columns become null, and
-    those the target lacks are refused by name. Check and append are two steps; run one
-    writer per table.
+    those the target lacks are refused by name. With ``widen`` the target takes the new columns and wider
+    types instead: its stored schema grows, earlier rows have null there, and no file is rewritten.
+    Check and append are two steps; run one writer per table.
     """
     spark = df.sparkSession
     if day is not None:
@@ -140,14 +152,19 @@ def append_new_days(
     target = read_if_exists(spark, path, fmt)
     if target is not None:
         extra = set(df.columns) - set(target.columns)
-        if extra:
+        if extra and not widen:
             raise ValueError(f"columns not in the target table: {sorted(extra)}")
         fresh = df
         if day is None:
-            fresh = without_days(df, days_present(target, day_col), day_col)
-        missing = [f for f in target.schema.fields if f.name not in df.columns]
-        fresh = fresh.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing})
-        df = fresh.select(*[F.col(f.name).cast(f.dataType) for f in target.schema.fields])
+            held = days_shared(df, target, day_col)
+            fresh = without_days(df, held, day_col)
+        known = target.schema
+        if widen:
+            fresh = durable(fresh)
+            if fresh.isEmpty():
+                return
+            known = schema.grow(spark, path, target.schema, df.schema)
+        df = schema.conform(fresh, known)
     write_table(df, path, table=table, partition_by=day_col, mode="append", fmt=fmt,
                 rebalance=rebalance)
 
