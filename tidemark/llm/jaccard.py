@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.durable import Scratch, broadcast_within, durable  # noqa: F401
+from tidemark.durable import BROADCAST_ROWS, Scratch, broadcast_within, durable  # noqa: F401
 
 FREQUENT = 8  # a shingle that more sets than this are found to have is of the frequent class
 KEYS_SENT = 1_000_000  # so many shingle hashes at most are broadcast, some 10 MB
@@ -287,19 +287,25 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
 
 
 def components(scratch: Scratch, nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """``node, comp``, written as ``comp``: the smallest node reachable; labels fall to the smallest neighbour's, then jump."""
+    """``node, comp``, written as ``comp``: the smallest node reachable; labels fall to the smallest neighbour's, then jump.
+
+    Labels, one for each end of a link, are sent to the links while they are few, and shuffled with them beyond that.
+    """
     if links.isEmpty():
         return scratch.put("comp", nodes.select("node", F.col("node").alias("comp")))
     both = scratch.put("both", links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     label = scratch.put("label", both.select(F.col("a").alias("node")).distinct().withColumn("comp", F.col("node")))
+    few = label.count() <= BROADCAST_ROWS
     changed = True
     while changed:
-        near = both.join(label.select(F.col("node").alias("b"), "comp"), "b").groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("near"))
-        low = label.join(near, "node").select("node", F.col("comp").alias("old"), F.least("comp", "near").alias("mid"))
-        jump = label.select(F.col("node").alias("mid"), F.col("comp").alias("far"))
+        sent = F.broadcast(label) if few else label
+        near = both.join(sent.select(F.col("node").alias("b"), "comp"), "b").groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("near"))
+        low = near.join(sent, "node").select("node", F.col("comp").alias("old"), F.least("comp", "near").alias("mid"))
+        jump = sent.select(F.col("node").alias("mid"), F.col("comp").alias("far"))
         new = scratch.put("label", low.join(jump, "mid").select("node", "old", F.least("mid", "far").alias("comp")))
         changed = not new.where("old != comp").isEmpty()
         label = new.select("node", "comp")
+    label = F.broadcast(label) if few else label
     comp = scratch.put("comp", nodes.join(label, "node", "left").select("node", F.coalesce("comp", "node").alias("comp")))
     scratch.drop("both", "label")
     return comp
