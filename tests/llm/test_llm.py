@@ -1,6 +1,7 @@
 """The operators on small fixtures: brute force, round trips, and odd rows."""
 
 import collections
+import itertools
 import re
 import zlib
 
@@ -130,6 +131,56 @@ def test_urls_rules_decide_unlabelled_rows(spark):
     assert all(got[i].verdict == "allow" and got[i].rule is None for i in range(61, 65))
 
 
+def brute_rules(rows, fewest, confidence):
+    """Minimal rules ``(tokens, verdict): confidence``, by trying every set of tokens."""
+    tokens = sorted({t for held, _ in rows for t in held})
+    found = {}
+    for verdict in ("block", "allow"):
+        share = sum(v == verdict for _, v in rows) / len(rows)
+        for n in range(1, len(tokens) + 1):
+            for some in map(frozenset, itertools.combinations(tokens, n)):
+                met = [v == verdict for held, v in rows if some <= set(held)]
+                if sum(met) < fewest or sum(met) / len(met) < confidence or sum(met) / len(met) <= share * (1 + 1e-9):
+                    continue
+                if not any(kept < some for kept, of in found if of == verdict):
+                    found[some, verdict] = sum(met) / len(met)
+    return found
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_mined_rules_against_brute_force(spark, seed):
+    """Repeated rows, tokens that always go together, and tokens that only together imply a verdict."""
+    r = np.random.default_rng(seed)
+    sets = [sorted(t for t in "abcdef" if r.random() < 0.5) for _ in range(12)]
+    sets = [s + ["b+"] if "b" in s else s for s in sets]  # b and b+ are one item
+    rows = [(sets[i], "block" if r.random() < (0.9 if {"a", "c"} <= set(sets[i]) else 0.5) else "allow") for i in r.integers(0, 12, 60)]
+    rows += [(["x", "y"], "block")] * 4 + [(["x"], "allow"), (["y"], "allow")] * 2  # 4 of 6 each, 4 of 4 together
+    rules, classes = urls.mine_rules(frame(spark, rows, "tokens array<string>, verdict string"), 0.01, 0.75)
+    members = collections.defaultdict(list)
+    for c in classes.collect():
+        members[c["item"]].append(c["token"])
+    got = {}
+    for rule in rules.collect():
+        for some in itertools.product(*[members[i] for i in rule["items"]]):
+            got[frozenset(some), "block" if rule["blocks"] else "allow"] = rule["confidence"]
+    assert got == pytest.approx(brute_rules(rows, 3, 0.75)) and got[frozenset("xy"), "block"] == 1
+
+
+def test_urls_long_and_repeated(spark):
+    """Equal long urls are few items; the words of urls of both verdicts are one; clashing names stay."""
+    words = "/".join(f"{a}{b}" for a in "bcdfghkl" for b in "aeio")
+    rows = [f"http://a.net/{words}"] * 6 + [f"http://b.org/fr/{words}"] * 6 + [f"http://c.com/x/{w}" for w in words.split("/")]
+    rows += [f"http://a.com/{'word/' * 20_000}", f"http://{words.replace('/', '.')}.com", None, ""]
+    pages = frame(spark, list(enumerate(rows)), "page_id long, url string")
+    clash = pages.withColumns({c: F.lit(7) for c in ("best", "_set", "tokens", "row", "item", "_tokens")})
+    out = urls.judge(clash)
+    got = {r.page_id: r for r in out.collect()}
+    assert len(got) == len(rows) and out.columns[: len(clash.columns)] == clash.columns and got[0].best == got[0].row == 7
+    assert {got[i].verdict for i in range(6)} == {"block"} and {got[i].verdict for i in range(6, 12)} == {"allow"}
+    assert all(got[i].confidence is None for i in range(12, 44))  # as often blocked as allowed
+    assert got[44].verdict == "block"  # the host's word, which only blocked urls have
+
+
 # --- 4: html
 
 
