@@ -168,7 +168,7 @@ def test_mined_rules_against_brute_force(spark, seed):
 
 def test_urls_long_and_repeated(spark):
     """Equal long urls are few items; the words of urls of both verdicts are one; clashing names stay."""
-    words = "/".join(f"{a}{b}" for a in "bcdfghkl" for b in "aeio")
+    words = "/".join(f"{a}{b}n" for a in "bcdfghkl" for b in "aeio")
     rows = [f"http://a.net/{words}"] * 6 + [f"http://b.org/fr/{words}"] * 6 + [f"http://c.com/x/{w}" for w in words.split("/")]
     rows += [f"http://a.com/{'word/' * 20_000}", f"http://{words.replace('/', '.')}.com", None, ""]
     pages = frame(spark, list(enumerate(rows)), "page_id long, url string")
