@@ -216,6 +216,27 @@ def test_html_text_beside_a_small_article():
     assert html.main_text(page) == f"Head\n{long}\nNo.\n{long}"
 
 
+def test_html_names_within_an_article():
+    """Names that only hold a word of furniture drop nothing; whole ones do, doubtful ones where the text agrees."""
+    text = "some longer words of the text " * 5
+    kept = ['<div class="post-header"><h1>Title</h1></div>', '<div class="share-price"><p>up 3</p></div>', '<p id="notice-of-meeting">come</p>',
+            f'<div class="related"><p>{text}</p></div>', '<div class="header"><h2>Part</h2></div>']
+    gone = ['<div class="notice">cookies</div>', '<div class="cookie-notice"><p>cookies</p></div>', '<ul class="relatedPosts"><li><a>one</a><li><a>two</a></ul>',
+            f'<div id="comments"><p>{text}</p></div>', '<div class="site-nav"><a>go</a></div>', '<div class="share"><a>tell</a> us</div>']
+    want = ["Title", "up 3", "come", text.strip(), "Part", text.strip()]
+    assert html.main_text(f"<body><article>{''.join(kept + gone)}<p>{text}</p></article>").split("\n") == want
+    assert html.main_text(f'<body><div class="header">x</div><article><p>{text}</p></article>') == text.strip()
+
+
+def test_html_unclosed_and_deep():
+    assert html.main_text("<p>One</p><!-- open <p>Two") == html.main_text("<p>One</p><a href='x") == "One"
+    assert html.main_text("<p>1 < 2 &amp; <3") == "1 < 2 & <3"
+    deep = html.main_text("<div>x" * 30_000 + "</b>" * 30_000)  # in time and memory of its length
+    assert deep.count("x") == 30_000
+    long = html.main_text("<article>" + "<p>word &lt; word</p>" * 50_000 + "</article>")
+    assert long == "\n".join(["word < word"] * 50_000)
+
+
 def test_html_frames(spark):
     pages = frame(spark, [(1, None, None), (None, "u", "<p>a</p>"), (2, "u", "<p>b</p>")], "page_id long, url string, html string")
     got = html.extract(pages.withColumn("text", F.lit("clash"))).collect()
