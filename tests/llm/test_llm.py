@@ -10,6 +10,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.durable import Scratch
 from tidemark.llm import ann, html, jaccard, licenses, linededup, mixing, pieces, quality, topk, urls
 from tests.compare import connect, duck_rows, spark_rows
 from tidemark.llm.queries import QUERIES, SQL
@@ -486,6 +487,23 @@ def test_components_of_a_copy_group_and_an_outsider(spark, monkeypatch):
     assert got == brute_components(rows, 4, 85)
 
 
+@pytest.mark.parametrize("few,block,held,compared", [(1, 4, 64, 512), (1, 16, 2, 3), (3, 1000, 1, 512), (32, 1024, 64, 512)])
+def test_crossing_pairs_against_brute_force(spark, monkeypatch, few, block, held, compared):
+    """Every pair of unlike components and of like sizes that shares a key, whatever is paired by blocks; large components too."""
+    for name, value in (("FEW_COMPONENTS", few), ("BLOCK", block), ("KEYS_HELD", held), ("KEYS_COMPARED", compared)):
+        monkeypatch.setattr(jaccard, name, value)
+    r = np.random.default_rng(block)
+    n = {i: int(r.integers(80, 140)) for i in range(60)}
+    comp = {i: 0 if i < 25 else i - i % 2 for i in n}  # one of 25 sets, the others of two
+    keys = {i: set(r.choice(12, int(r.integers(0, 7)), replace=False).tolist()) for i in n}
+    index = spark.createDataFrame([(k, i, n[i]) for i in n for k in keys[i]], "key long, node long, n long")
+    labels = spark.createDataFrame(list(comp.items()), "node long, comp long")
+    with Scratch(spark) as scratch:
+        got = [tuple(sorted(p)) for p in jaccard.crossing_pairs(scratch, index, labels, 85).collect()]
+    want = {(i, j) for i in n for j in n if i < j and comp[i] != comp[j] and keys[i] & keys[j] and 100 * min(n[i], n[j]) >= 85 * max(n[i], n[j])}
+    assert len(got) == len(set(got)) and set(got) == want
+
+
 def test_parity_bound_loses_no_link():
     rng = np.random.default_rng(3)
     for size in (1, 3, 40, 900, 5000):

@@ -15,6 +15,9 @@ from tidemark.durable import BROADCAST_ROWS, Scratch, broadcast_within, durable
 
 FREQUENT = 8  # a shingle that more sets than this are found to have is of the frequent class
 KEYS_SENT = 1_000_000  # so many shingle hashes at most are broadcast, some 10 MB
+FEW_COMPONENTS = 32  # a key of more components than this is paired by blocks
+BLOCK = 1024  # sets of a block
+KEYS_HELD, KEYS_COMPARED = 64, 512  # of a set, and of two blocks, to leave out pairs that are made elsewhere
 LEAST_PERCENT = 73  # under about 70, sets could link without sharing a pair of frequent shingles
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)
 
@@ -230,14 +233,66 @@ def pivot_pairs(index: DataFrame, comp: DataFrame, salt: int, percent: int) -> D
     return pairs.where((F.col("comp") != F.col("far")) & within(percent)).select("member", "pivot").distinct()
 
 
-def crossing_pairs(index: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
-    """``member, pivot``: all pairs of a key between two components; components are paired first, so none is paired with itself."""
-    placed = index.join(comp, "node")
-    held = placed.select("key", "comp").distinct()
-    met = held.join(held.select("key", F.col("comp").alias("far")), "key").where("comp < far")
+def crossing_pairs(scratch: Scratch, index: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
+    """``member, pivot``: all pairs of a key between two components; components are paired first, so none is paired with itself.
+
+    Sets that share a key of many components mostly share many such keys. They are paired block by block, at the first of
+    these keys that both have, so that a pair is not made once for each.
+    """
+    placed = scratch.put("placed", index.join(comp, "node").select("key", "node", "n", "comp"))
+    held = scratch.put("key_comps", placed.groupBy("key", "comp").agg(F.count("*").alias("sets")))
+    spread = held.groupBy("key").agg(F.count("*").alias("comps"), F.sum(F.when(F.col("sets") <= BLOCK, F.col("sets")).otherwise(0)).alias("small"))
+    spread = scratch.put("spread", spread.where("comps > 1"))
+    few, many = spread.where(F.col("comps") <= FEW_COMPONENTS).select("key"), spread.where(F.col("comps") > FEW_COMPONENTS)
+    some = held.join(few, "key").select("key", "comp")
+    met = some.join(some.select("key", F.col("comp").alias("far")), "key").where("comp < far")
     left = placed.select("key", "comp", F.col("node").alias("member"), F.col("n").alias("na")).join(met, ["key", "comp"])
     right = placed.select("key", F.col("comp").alias("far"), F.col("node").alias("pivot"), F.col("n").alias("nb"))
-    return left.join(right, ["key", "far"]).where(within(percent)).select("member", "pivot").distinct()
+    pairs = left.join(right, ["key", "far"]).where(within(percent)).select("member", "pivot")
+    return pairs.unionAll(block_pairs(scratch, placed, held, many, percent)).distinct()
+
+
+def block_pairs(scratch: Scratch, placed: DataFrame, held: DataFrame, keys: DataFrame, percent: int) -> DataFrame:
+    """``member, pivot`` of ``placed`` under ``keys``: pairs of unlike components and of sizes that can link.
+
+    The sets of a key are cut into blocks of some ``BLOCK``: a component larger than that has blocks of its own, which are not paired with
+    one another; the others share blocks, each whole in one. A pair is left out where both sets have a smaller one of the
+    keys, as far as their ``KEYS_HELD`` smallest show; at the first key they share they never do.
+    """
+    rows = placed.join(keys.select("key", "small"), "key").join(held.select("key", "comp", "sets"), ["key", "comp"])
+    pieces = F.ceil(F.when(F.col("sets") > BLOCK, F.col("sets")).otherwise(F.col("small")) / BLOCK)
+    large = F.when(F.col("sets") > BLOCK, F.col("comp"))
+    slot = F.pmod(F.when(large.isNull(), F.xxhash64("comp")).otherwise(F.xxhash64("node")), pieces)
+    rows = scratch.put("blocks", rows.select("key", "node", "n", "comp", large.alias("large"), F.xxhash64(F.coalesce(large, F.lit(0)), slot).alias("block")))
+    firsts = scratch.put("first_keys", rows.groupBy("node").agg(F.slice(F.array_sort(F.collect_list("key")), 1, KEYS_HELD).alias("keys")))  # of one set
+    blocks = scratch.put("block_list", rows.select("key", "block", "large").distinct())
+    other = blocks.select("key", F.col("block").alias("b"), F.col("large").alias("far_large"))
+    grid = blocks.withColumnRenamed("block", "a").join(other, "key").where("a <= b and (large is null or far_large is null or large != far_large)")
+    grid = scratch.put("grid", grid.select("key", "a", "b"))
+    ends = grid.select("key", "a", "b", F.col("a").alias("block")).unionAll(grid.where("a < b").select("key", "a", "b", F.col("b").alias("block")))
+    wide = rows.select("key", "block", "node", "n", "comp").join(firsts, "node").join(ends, ["key", "block"])
+
+    def pair(table: pa.Table) -> pa.Table:
+        key, first, last = (table.column(c)[0].as_py() for c in ("key", "a", "b"))
+        block, node, n, comp = (table.column(c).to_numpy() for c in ("block", "node", "n", "comp"))
+        lists = table.column("keys").combine_chunks()
+        row = np.repeat(np.arange(len(node)), lists.value_lengths().to_numpy(zero_copy_only=False))
+        value = lists.flatten().to_numpy(zero_copy_only=False)
+        row, value = row[value < key], value[value < key]
+        known, place, often = np.unique(value, return_inverse=True, return_counts=True)
+        column = np.full(len(known), -1)
+        column[np.argsort(-often, kind="stable")[:KEYS_COMPARED]] = np.arange(min(len(known), KEYS_COMPARED))
+        row, column = row[column[place] >= 0], column[place][column[place] >= 0]
+        has = np.zeros((len(node), min(len(known), KEYS_COMPARED)), np.float32)
+        has[row, column] = 1
+        x, y = np.flatnonzero(block == first), np.flatnonzero(block == last)
+        new = (has[x] @ has[y].T) == 0
+        new &= comp[x][:, None] < comp[y] if first == last else comp[x][:, None] != comp[y]
+        new &= (n[x][:, None] * 100 >= n[y] * percent) & (n[y] * 100 >= n[x][:, None] * percent)
+        i, j = np.nonzero(new)
+        return pa.table({"member": node[x[i]], "pivot": node[y[j]]})
+
+    return wide.groupBy("key", "a", "b").applyInArrow(pair, "member long, pivot long")
 
 
 def possible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
@@ -384,8 +439,8 @@ def linked_components(docs: DataFrame, words: int = 4, percent: int = 85) -> Dat
 
         for salt in (1, 2):
             linked(pivot_pairs(index, comp, salt, percent))
-        linked(crossing_pairs(index, comp, percent))
-        scratch.drop("index", "probes", "links")
+        linked(crossing_pairs(scratch, index, comp, percent))
+        scratch.drop("index", "placed", "key_comps", "spread", "blocks", "first_keys", "block_list", "grid", "probes", "links")
         smallest = comp.join(firsts, "node").groupBy("comp").agg(F.min("first").alias("component_id"))
         of_node = comp.join(smallest, "comp").select(F.col("node").alias("_node"), "component_id")
         rows = all_rows.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.col("node")).alias("node"))
