@@ -52,14 +52,23 @@ def test_generated_rows_follow_the_profile(spark, house):
     assert rows.exceptAll(other).count() > 900
 
 
-def test_many_values_give_the_same_rows_as_few(spark, house, monkeypatch):
-    few = synth.profile_table(house, exclude=KEYS)
-    monkeypatch.setattr(synth, "INLINE_VALUES", 2)
-    many = synth.profile_table(house, exclude=KEYS)
-    assert "ocean_proximity" in many.indexed and "ocean_proximity" in few.values
-    one, two = (synth.synth_rows(spark, p, [START], rows_per_day=200) for p in (few, many))
-    assert one.columns == two.columns
-    assert one.exceptAll(two).count() == 0 == two.exceptAll(one).count()
+def test_columns_of_any_number_of_values(spark):
+    """A column of 100,000 values beside one of two: every row has one of them, the same however they are joined."""
+    df = spark.range(100_000).select(
+        "id", F.concat(F.lit("v"), "id").alias("many"), F.when(F.col("id") % 2 == 0, "even").alias("few"))
+    profile = synth.profile_table(df, exclude=["id"])
+    assert profile.sizes == {"many": 100_000, "few": 2}
+    rows = synth.synth_rows(spark, profile, [START, END], rows_per_day=20_000, id_col="id")
+    seen = rows.agg(F.count("*").alias("n"), F.count_distinct("many").alias("many"), F.collect_set(F.coalesce("few", F.lit("-"))).alias("few")).first()
+    assert seen["n"] == 40_000 and seen["many"] > 30_000 and set(seen["few"]) == {"even", "-"}
+    assert rows.join(df, "many", "left_anti").count() == 0
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        again = synth.synth_rows(spark, profile, [START, END], rows_per_day=20_000, id_col="id")
+        assert rows.exceptAll(again).count() == 0 == again.exceptAll(rows).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_nulls_and_empty_columns_in_a_profile(spark):

@@ -168,20 +168,20 @@ def samples(spark, ref, test):
             spark.createDataFrame([(x,) for x in test], "x double"))
 
 
-@pytest.mark.parametrize("buckets,window_rows", [(4, 10**6), (4, 400), (4, 0), (64, 0), (64, 400), (512, 1)])
-def test_ks_equals_brute_force(spark, buckets, window_rows):
+@pytest.mark.parametrize("buckets", [2, 4, 64, 512])
+def test_ks_equals_brute_force(spark, buckets):
     rng = random.Random(buckets)
     ref = [rng.gauss(0, 1) for _ in range(300)] + [0.25] * 150
     test = [rng.gauss(0.2, 1.3) for _ in range(200)] + [0.25] * 20 + [math.inf, -math.inf]
-    row = drift.ks_drift(*samples(spark, ref, test), ["x"], buckets, window_rows).first()
+    row = drift.ks_drift(*samples(spark, ref, test), ["x"], buckets).first()
     assert row["statistic"] == pytest.approx(brute_force(ref, test), abs=1e-12)
     assert (row["n_ref"], row["n_test"]) == (450, 222)
 
 
 def test_ks_of_a_sample_with_itself(spark):
     xs = [float(i * i % 101) for i in range(300)]
-    for window_rows in (0, 1000):
-        row = drift.ks_drift(*samples(spark, xs, xs), ["x"], window_rows=window_rows).first()
+    for buckets in (2, 512):
+        row = drift.ks_drift(*samples(spark, xs, xs), ["x"], buckets).first()
         assert (row["statistic"], row["p_value"]) == (0.0, 1.0)
     assert not drift.drift_verdict(drift.ks_drift(*samples(spark, xs, xs), ["x"])).first()["is_drift"]
 
@@ -194,19 +194,18 @@ def test_ks_of_a_shifted_sample(spark):
 
 
 def test_ks_ignores_nulls_and_nan_and_survives_an_empty_sample(spark):
-    for rows in (0, 1000):
-        row = drift.ks_drift(*samples(spark, [1.0, None, math.nan, 2.0], [1.0, 2.0]), ["x"],
-                             window_rows=rows).first()
+    for buckets in (2, 512):
+        row = drift.ks_drift(*samples(spark, [1.0, None, math.nan, 2.0], [1.0, 2.0]), ["x"], buckets).first()
         assert (row["n_ref"], row["n_test"], row["statistic"]) == (2, 2, 0.0)
-        row = drift.ks_drift(*samples(spark, [1.0, 2.0], []), ["x"], window_rows=rows).first()
+        row = drift.ks_drift(*samples(spark, [1.0, 2.0], []), ["x"], buckets).first()
         assert (row["statistic"], row["p_value"]) == (0.0, 1.0)
 
 
 def test_ks_with_a_hot_value(spark):
     ref = spark.range(30_000).selectExpr("if(id % 3 = 0, 7.5, id / 1000.0d) as x")
     test = spark.range(30_000).selectExpr("if(id % 3 = 0, 8.5, id / 1000.0d) as x")
-    for rows in (0, 20_000, 1_000_000):
-        row = drift.ks_drift(ref, test, ["x"], window_rows=rows).first()
+    for buckets in (2, 64, 512):
+        row = drift.ks_drift(ref, test, ["x"], buckets).first()
         assert row["statistic"] == pytest.approx(1 / 3, abs=1e-12)
 
 

@@ -6,8 +6,6 @@ import math
 from collections.abc import Sequence
 from functools import reduce
 
-import numpy as np
-import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,10 +15,6 @@ from tidemark.functions.columns import chi_square_p_value, ks_p_value
 from tidemark.operators.running import running_sums
 
 BUCKETS = 512
-EDGE_SAMPLE = 0.05
-
-# A window over this many narrow rows sorts within the memory of one task.
-WINDOW_ROWS = 2_000_000
 
 
 def reference_rows(features: DataFrame, training_keys: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -55,21 +49,22 @@ def _gap(ref: Column, test: Column) -> Column:
 
 
 
-
 def _sizes() -> list[Column]:
     return [F.sum("in_ref").alias("ref"), F.sum(1 - F.col("in_ref")).alias("test")]
 
 
 def _edges(wide: DataFrame, names: Sequence[str], buckets: int) -> list[list[float]]:
-    """Bucket bounds per feature: quantiles of a few percent of the rows.
+    """Bucket bounds per feature: quantiles of a mergeable sketch, all features in one pass.
 
-    Any bounds give the same test result. Good ones only make the buckets even,
-    so they are not worth a pass over every value.
+    Any bounds give the same test result. Good ones only make the buckets even.
     """
-    few = wide.select(*names).sample(EDGE_SAMPLE, seed=0)
-    quantiles = few.approxQuantile(
-        list(names), [i / buckets for i in range(1, buckets)], 1.0 / (2 * buckets))
-    inner = [sorted({q for q in qs or [] if math.isfinite(q)}) or [0.0] for qs in quantiles]
+    ranks = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    sketches = wide.agg(*[
+        F.kll_sketch_agg_double(F.when(~F.isnan(c), F.col(c))).alias(c) for c in names])
+    found = sketches.select(*[
+        F.when(F.kll_sketch_get_n_double(c) > 0, F.kll_sketch_get_quantile_double(F.col(c), ranks)).alias(c)
+        for c in names]).first()
+    inner = [sorted({q for q in qs or [] if math.isfinite(q)}) or [0.0] for qs in found]
     return [[-math.inf, *edges, math.inf] for edges in inner]
 
 
@@ -96,20 +91,15 @@ def _bucketed(wide: DataFrame, edges: dict[str, list[float]]) -> DataFrame:
 
 
 def ks_drift(reference: DataFrame, test: DataFrame, features: Sequence[str],
-             buckets: int = BUCKETS, window_rows: int = WINDOW_ROWS) -> DataFrame:
+             buckets: int = BUCKETS) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov test per numeric feature.
 
-    The statistic is exact. Samples that are counted to fit into one task are
-    ordered as they are; of larger ones only a sliver is ever sorted, see
-    ``_gaps_by_bucket``. Nulls and NaN are left out.
+    The statistic is exact, though only a sliver of the values is ever sorted,
+    see ``_gaps``. Nulls and NaN are left out.
     """
     names = list(features)
     wide = _both(reference, test, [F.col(c).cast("double").alias(c) for c in names])
-    if wide.count() <= window_rows:
-        found = _gaps_directly(wide, names)
-    else:
-        found = _gaps_by_bucket(wide, names, buckets, window_rows)
-    tested = found.groupBy("feature").agg(
+    tested = _gaps(wide, names, buckets).groupBy("feature").agg(
         F.max("n_ref").alias("n_ref"), F.max("n_test").alias("n_test"),
         F.max("gap").alias("gap"))
     # One empty sample leaves nothing to compare: no gap, no drift.
@@ -120,24 +110,7 @@ def ks_drift(reference: DataFrame, test: DataFrame, features: Sequence[str],
     )
 
 
-def _gaps_directly(wide: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Largest gap per feature, each feature in one task."""
-    counted = _melt(wide, {c: {} for c in names}).groupBy("feature", "value").agg(*_sizes())
-
-    def largest_gap(table):
-        order = np.argsort(table["value"].to_numpy())
-        upto = [np.cumsum(table[c].to_numpy()[order]) for c in ("ref", "test")]
-        sizes = [int(u[-1]) for u in upto]
-        gap = np.abs(upto[0] / sizes[0] - upto[1] / sizes[1]).max() if all(sizes) else None
-        return pa.table({"feature": table["feature"][:1], "n_ref": [sizes[0]],
-                         "n_test": [sizes[1]], "gap": pa.array([gap], pa.float64())})
-
-    return counted.groupBy("feature").applyInArrow(
-        largest_gap, "feature string, n_ref long, n_test long, gap double")
-
-
-def _gaps_by_bucket(wide: DataFrame, names: Sequence[str], buckets: int,
-                    window_rows: int) -> DataFrame:
+def _gaps(wide: DataFrame, names: Sequence[str], buckets: int) -> DataFrame:
     """Gaps at all bucket ends, and at every value of the buckets that matter.
 
     Both samples are counted in buckets; that gives the gap of the distribution
@@ -168,34 +141,24 @@ def _gaps_by_bucket(wide: DataFrame, names: Sequence[str], buckets: int,
     starts = ends.where((bound > F.col("best")) & (F.col("low") < F.col("high"))).select(
         "feature", "bucket", "n_ref", "n_test",
         ref_before.alias("ref_before"), test_before.alias("test_before"),
-        (F.col("ref") + F.col("test")).alias("size"),
     )
     found = ends.select("feature", "n_ref", "n_test", "gap")
-    largest = {r["feature"]: r["size"] for r in starts.groupBy("feature").agg(
-        F.max("size").alias("size")).collect()}
-    if not largest:
+    open_ = [r["feature"] for r in starts.select("feature").distinct().collect()]
+    if not open_:
         return found
     # Columns of features that are settled are not read again.
-    values = _bucketed(wide, {c: edges[c] for c in names if c in largest})
-    sliced = max(largest.values()) > window_rows
-    return found.unionByName(_gaps_inside(values, starts, sliced))
+    values = _bucketed(wide, {c: edges[c] for c in names if c in open_})
+    return found.unionByName(_gaps_inside(values, starts))
 
 
-def _gaps_inside(values: DataFrame, starts: DataFrame, sliced: bool) -> DataFrame:
-    """Gap at every value of the buckets in ``starts``.
+def _gaps_inside(values: DataFrame, starts: DataFrame) -> DataFrame:
+    """Gap at every value of the buckets in ``starts``, at most features x buckets rows.
 
-    A window takes each bucket into one task, which is fine for buckets known
-    to be small; otherwise the order is cut into slices.
+    A bucket may hold any number of values, so the order is cut into slices.
     """
     keys = ["feature", "bucket"]
     wanted = values.join(F.broadcast(starts.select(*keys)), on=keys)
-    counted = wanted.groupBy(*keys, "value").agg(*_sizes())
-    if sliced:
-        counted = running_sums(counted, keys, ["value"], ["ref", "test"])
-    else:
-        upto = Window.partitionBy(*keys).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-        counted = counted.withColumns({
-            f"{c}_upto": F.sum(c).over(upto) for c in ("ref", "test")})
+    counted = running_sums(wanted.groupBy(*keys, "value").agg(*_sizes()), keys, ["value"], ["ref", "test"])
     gap = F.abs(_gap(F.col("ref_before") + F.col("ref_upto"),
                      F.col("test_before") + F.col("test_upto")))
     return counted.join(F.broadcast(starts), on=keys).select(

@@ -10,14 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, IntegralType, NumericType
 
-from tidemark.durable import broadcast_within, durable
+from tidemark.durable import durable, scratch_path
 from tidemark.functions.columns import unit_hash
 from tidemark.operators.running import running_sums
 
-# Up to this many values of a column travel inside the plan; more of them stay
-# a table that generated rows are joined with.
-INLINE_VALUES = 1_000
-
 ROWS_PER_DAY = 10_000
 
 
@@ -58,15 +54,15 @@ def value_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
 class Profile:
     """What synthetic rows are drawn from; columns in the order of the table.
 
-    ``ranges`` has the ends of numeric columns, ``values`` the sorted values of
-    columns with few of them, ``indexed`` a table ``(position, value)`` for
-    every column with many.
+    ``ranges`` has the ends of numeric columns; ``dictionary`` is a table
+    ``(position, value, column)`` of the sorted values of all others, written in one
+    directory per column, and ``sizes`` how many of them a column has.
     """
 
     types: dict[str, DataType]
     ranges: dict[str, tuple]
-    values: dict[str, list]
-    indexed: dict[str, tuple[DataFrame, int]]
+    sizes: dict[str, int]
+    dictionary: DataFrame | None
 
 
 def profile_table(df: DataFrame, exclude: Sequence[str] = ()) -> Profile:
@@ -83,20 +79,15 @@ def profile_table(df: DataFrame, exclude: Sequence[str] = ()) -> Profile:
         row = df.agg(*[F.min(c).alias(f"lo{i}") for i, c in enumerate(numeric)],
                      *[F.max(c).alias(f"hi{i}") for i, c in enumerate(numeric)]).first()
         ranges = {c: (row[f"lo{i}"], row[f"hi{i}"]) for i, c in enumerate(numeric)}
-    values, indexed = {}, {}
-    if other:
-        found = durable(value_profile(df, other))
-        sizes = {r["column"]: r["count"] for r in found.groupBy("column").count().collect()}
-        few = [c for c in other if sizes.get(c, 0) <= INLINE_VALUES]
-        values = {c: [] for c in few}
-        for r in found.where(F.col("column").isin(few)).orderBy("column", "value").collect():
-            values[r["column"]].append(r["value"])
-        for c in set(other) - set(few):
-            ranked = running_sums(
-                found.where(F.col("column") == c).select("value", F.lit(1).alias("n")),
-                [], ["value"], ["n"])
-            indexed[c] = (ranked.select(F.col("n_upto").alias("_position"), "value"), sizes[c])
-    return Profile(types, ranges, values, indexed)
+    if not other:
+        return Profile(types, ranges, {}, None)
+    found = durable(value_profile(df, other))
+    sizes = {r["column"]: r["count"] for r in found.groupBy("column").count().collect()}
+    ranked = running_sums(found.withColumn("n", F.lit(1).cast("long")), ["column"], ["value"], ["n"])
+    path = scratch_path(df.sparkSession, "dictionary")
+    ranked.select(F.col("n_upto").alias("position"), "value", "column").write.partitionBy("column").parquet(path)
+    dictionary = df.sparkSession.read.schema("position long, value string, column string").parquet(path)
+    return Profile(types, ranges, {c: sizes.get(c, 0) for c in other}, dictionary)
 
 
 def _in_range(u: Column, low, high, dtype: DataType) -> Column:
@@ -143,14 +134,13 @@ def synth_rows(
     cells = {}
     for c, (low, high) in profile.ranges.items():
         cells[c] = _in_range(draw(c), low, high, profile.types[c])
-    for c, choices in profile.values.items():
-        # Without observed values the column stays null.
-        texts = F.array(*[F.lit(v).cast("string") for v in choices or [None]])
-        pick = F.element_at(texts, _position(draw(c), max(len(choices), 1)).cast("int"))
-        cells[c] = pick.cast(profile.types[c])
+    # Without observed values a column stays null.
+    cells |= {c: F.lit(None).cast(profile.types[c]) for c, size in profile.sizes.items() if not size}
     rows = rows.withColumns(cells) if cells else rows
-    for c, (values, size) in profile.indexed.items():
-        named = values.select(F.col("_position"), F.col("value").cast(profile.types[c]).alias(c))
-        rows = rows.withColumn("_position", _position(draw(c), size)).join(
-            broadcast_within(durable(named)), on="_position").drop("_position")
+    for c, size in profile.sizes.items():
+        if size:
+            # Only the directory of the column is read: its size decides how it is joined.
+            choices = profile.dictionary.where(F.col("column") == c).select(
+                F.col("position").alias("_position"), F.col("value").cast(profile.types[c]).alias(c))
+            rows = rows.withColumn("_position", _position(draw(c), size)).join(choices, "_position").drop("_position")
     return rows.select(id_col, *profile.types, day_col)
