@@ -44,6 +44,20 @@ def test_empty_table_passes_without_division_by_zero(spark):
     assert all(r["success"] and r["unexpected_percent"] == 0.0 for r in found.values())
 
 
+def test_an_absent_column_fails_and_the_others_are_checked(spark):
+    df = spark.createDataFrame([(1, "x"), (2, None)], "a int, b string")
+    rules = [q.NotNull("gone"), q.NotNull("b"), q.Unique(("a", "gone")), q.Unique(("a",)), q.ValueRange("a", 1, 2), q.RowCount(2),
+             q.HasColumn("gone"), q.ValueLength("also.gone", 1, 2)]
+    found = run(df, *rules)
+    assert {(k[0], k[1]): (r["unexpected_count"], r["success"]) for k, r in found.items()} == {
+        ("not_null", "gone"): (None, False), ("not_null", "b"): (1, False), ("unique", "a,gone"): (None, False), ("unique", "a"): (0, True),
+        ("value_range", "a"): (0, True), ("row_count", "*"): (0, True), ("has_column", "gone"): (1, False), ("value_length", "also.gone"): (None, False)}
+    with pytest.raises(q.GateError, match="not_null on gone: absent"):
+        q.require_passed(q.run_suite(df, rules, suite="s", table="t"))
+    (row,) = run(df, q.NotNull("gone")).values()
+    assert not row["success"] and row["unexpected_percent"] is None
+
+
 def test_shape_and_schema(spark):
     df = spark.createDataFrame([(1, 1.5, dt.date(2024, 1, 1), "x")], "i int, d double, t date, s string")
     found = run(df, q.RowCount(2), q.ColumnCount(4), q.HasColumn("i"), q.HasColumn("gone"),

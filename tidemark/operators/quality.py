@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -186,9 +187,13 @@ class TypeIn:
 
 
 def run_suite(df: DataFrame, rules: Sequence, *, suite: str, table: str) -> DataFrame:
-    """Check ``rules`` on ``df``; one result row per rule, nothing runs yet."""
-    row_rules = [r for r in rules if hasattr(r, "unexpected")]
-    key_rules = [r for r in rules if isinstance(r, Unique)]
+    """Check ``rules`` on ``df``; one result row per rule, nothing runs yet.
+
+    A rule on a column that the table does not have fails, without counts; the others are checked.
+    """
+    absent = [r for r in rules if not hasattr(r, "check") and not _resolves(df, r)]
+    row_rules = [r for r in rules if hasattr(r, "unexpected") and r not in absent]
+    key_rules = [r for r in rules if isinstance(r, Unique) and r not in absent]
     schema_rules = [r for r in rules if hasattr(r, "check")]
     parts = []
     if row_rules:
@@ -196,11 +201,24 @@ def run_suite(df: DataFrame, rules: Sequence, *, suite: str, table: str) -> Data
     parts += [_key_result(df, rule, suite, table) for rule in key_rules]
     if schema_rules:
         parts.append(_schema_results(df, schema_rules, suite, table))
+    if absent:
+        none = F.lit(None).cast("long")
+        failed = [_result(r, suite, table, none, none, F.lit(False)) for r in absent]
+        parts.append(df.sparkSession.range(1).select(F.inline(F.array(*failed))))
     if not parts:
         raise ValueError("a suite needs at least one rule")
     return reduce(DataFrame.unionByName, parts)
 
 
+def _resolves(df: DataFrame, rule) -> bool:
+    """Has the table the columns that the rule is about?"""
+    names = rule.columns if isinstance(rule, Unique) else () if rule.column == "*" else (rule.column,)
+    try:
+        return len(df.select(*names).columns) == len(names)
+    except AnalysisException:
+        return False
+
+
 def _result(rule, suite: str, table: str, rows: Column, unexpected: Column,
             success: Column) -> Column:
     values = {
@@ -211,7 +229,7 @@ def _result(rule, suite: str, table: str, rows: Column, unexpected: Column,
         "severity": F.lit(rule.severity),
         "element_count": rows.cast("long"),
         "unexpected_count": unexpected.cast("long"),
-        "unexpected_percent": percent(unexpected, rows),
+        "unexpected_percent": F.when(rows.isNotNull(), percent(unexpected, rows)),
         "threshold": F.lit(rule.threshold),
         "success": success,
     }
@@ -263,7 +281,7 @@ def require_passed(results: DataFrame) -> None:
     if failed:
         raise GateError([
             f"{r['table']}: {r['rule']} on {r['column']}: "
-            f"{r['unexpected_count']} of {r['element_count']}"
+            + ("absent" if r["element_count"] is None else f"{r['unexpected_count']} of {r['element_count']}")
             for r in failed
         ])
 

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -96,50 +97,29 @@ def train_test_split(df: DataFrame, keys: Sequence[str],
 def fit_linear(df: DataFrame, features: Sequence[str], target: str) -> LinearModel:
     """Ordinary least squares with intercept; rows with nulls are left out.
 
-    One pass sums the products of all pairs of columns, a small matrix per
-    task; only their total, a square in the number of features, reaches the
-    driver. Features that depend on each other, such as the indicators of a
-    category, get the solution of smallest norm.
+    Means and deviations are summed in one pass, correlations by Spark ML; a square in the
+    number of features reaches the driver. Features that depend on each other, such as the
+    indicators of a category, get the solution of smallest norm.
     """
     columns = [*features, target]
     rows = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).na.drop()
-    origin = rows.first()
-    if origin is None:
+    dense = rows.select(array_to_vector(F.array(*[F.col(f"`{c}`") for c in columns])).alias("v"))
+    n, *moments = rows.agg(
+        F.count(F.lit(1)), *[F.avg(f"`{c}`") for c in columns],
+        *[F.coalesce(F.stddev_samp(f"`{c}`"), F.lit(0.0)) for c in columns]).first()
+    if not n:
         raise ValueError("no complete rows to fit")
-    # Products are taken about some row, so that a column far from zero does
-    # not lose its digits.
-    total = _products(rows, np.array(origin))
-    n, sums, products = total[0, 0], total[0, 1:], total[1:, 1:]
-    scatter = products - np.outer(sums, sums) / n
+    means, spread = np.split(np.array(moments), 2)
+    scatter = np.zeros((len(columns), len(columns)))
+    if n > 1:
+        correlation = Correlation.corr(dense, "v").first()[0].toArray()
+        # A column that never changes has no correlation, and no share in the fit.
+        scatter = np.where(np.outer(spread, spread) > 0, correlation, 0.0) * np.outer(spread, spread)
     weights = smallest_solution(scatter[:-1, :-1], scatter[:-1, -1])
-    means = np.array(origin) + sums / n
     return LinearModel(tuple(features), tuple(weights.tolist()),
                        float(means[-1] - weights @ means[:-1]))
 
 
-def _products(rows: DataFrame, origin: np.ndarray) -> np.ndarray:
-    """Sums of products of all pairs among 1 and the columns less ``origin``."""
-    size = len(origin) + 1
-
-    def partial_sums(batches):
-        total = np.zeros((size, size))
-        for batch in batches:
-            block = np.ones((batch.num_rows, size))
-            for i in range(1, size):
-                block[:, i] = batch.column(i - 1).to_numpy(zero_copy_only=False) - origin[i - 1]
-            total += block.T @ block
-        i, j = np.indices((size, size))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(i.ravel()), pa.array(j.ravel()), pa.array(total.ravel())], ["i", "j", "s"])
-
-    cells = rows.mapInArrow(partial_sums, "i long, j long, s double").groupBy("i", "j").agg(
-        F.sum("s").alias("s"))
-    total = np.zeros((size, size))
-    for r in cells.collect():
-        total[r["i"], r["j"]] = r["s"]
-    return total
-
-
 def smallest_solution(scatter: np.ndarray, cross: np.ndarray) -> np.ndarray:
     """The solution of smallest norm of the normal equations.
 
