@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import chi_square_p_value, ks_p_value, sign_flags, unit_hash
 from tidemark.operators import drift, features, scoring, stability, training
 from tidemark.operators.running import running_sums
+from tidemark.plans import flows
 
 
 @pytest.fixture
@@ -274,3 +275,24 @@ def test_unit_hash_stays_in_range(spark):
     row = spark.range(1000).select(unit_hash(F.lit("s"), F.col("id")).alias("u")).agg(
         F.min("u"), F.max("u"), F.avg("u")).first()
     assert 0 <= row[0] < 0.01 and 0.99 < row[1] <= 1 and 0.45 < row[2] < 0.55
+
+
+def test_only_accepted_versions_are_scored_with(spark, line, tmp_path):
+    models, stages, scores = (str(tmp_path / n) for n in ("models", "stages", "scores"))
+    good = training.fit_linear(line, ["a", "b"], "y")
+    with pytest.raises(LookupError):
+        training.load_accepted(spark, models, stages, "m")
+    for shift in (0, 1e6):
+        model = training.LinearModel(good.features, good.coefficients, good.intercept + shift)
+        training.register_model(spark, models, "m", model)
+        found = flows.validate_latest(spark, line, "y", models, stages, "m", limit=10.0).first()
+        assert (found["version"], found["stage"]) == ((1, "accepted") if not shift else (2, "rejected"))
+    with pytest.raises(ValueError, match="decided before"):
+        flows.validate_latest(spark, line, "y", models, stages, "m", limit=1e9)
+    training.register_model(spark, models, "m", good)
+    with pytest.raises(ValueError, match="no complete rows"):
+        flows.validate_latest(spark, line.where("k < 0"), "y", models, stages, "m")
+    assert training.load_accepted(spark, models, stages, "m").intercept == pytest.approx(good.intercept)
+    days = line.withColumn("Date", F.to_date(F.lit("2024-01-01")))
+    flows.score_and_append(spark, days, models, "m", scores, day="2024-01-01", stages_path=stages)
+    assert spark.read.parquet(scores).where("abs(predictions - y) > 1e-3").count() == 0

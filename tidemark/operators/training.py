@@ -19,6 +19,9 @@ REGISTRY_SCHEMA = (
     "model string, version int, intercept double, coefficients array<double>, "
     "features array<string>, metrics map<string,double>"
 )
+# One row per decision on a version, appended; a version without one is registered only.
+STAGE_SCHEMA = "model string, version int, stage string, rmse double"
+ACCEPTED, REJECTED = "accepted", "rejected"
 
 
 @dataclass(frozen=True)
@@ -188,3 +191,30 @@ def load_latest(spark: SparkSession, path: str, name: str) -> LinearModel:
         raise LookupError(f"no model named {name}")
     row = newest[0]
     return LinearModel(tuple(row["features"]), tuple(row["coefficients"]), row["intercept"])
+
+
+def load_version(spark: SparkSession, path: str, name: str, version: int) -> LinearModel:
+    """One version of a model."""
+    rows = read_table(spark, path).where((F.col("model") == name) & (F.col("version") == version)).collect()
+    if not rows:
+        raise LookupError(f"no version {version} of {name}")
+    return LinearModel(tuple(rows[0]["features"]), tuple(rows[0]["coefficients"]), rows[0]["intercept"])
+
+
+def decide_stage(spark: SparkSession, path: str, name: str, version: int, accepted: bool, rmse: float | None) -> str:
+    """Record that a registered version is accepted or rejected; it is decided once only."""
+    decided = read_if_exists(spark, path)
+    if decided is not None and not decided.where((F.col("model") == name) & (F.col("version") == version)).isEmpty():
+        raise ValueError(f"version {version} of {name} has been decided before")
+    stage = ACCEPTED if accepted else REJECTED
+    spark.createDataFrame([(name, version, stage, rmse)], STAGE_SCHEMA).write.mode("append").parquet(path)
+    return stage
+
+
+def load_accepted(spark: SparkSession, path: str, stages_path: str, name: str) -> LinearModel:
+    """The highest version that validation has accepted."""
+    stages = read_if_exists(spark, stages_path)
+    top = None if stages is None else stages.where((F.col("model") == name) & (F.col("stage") == ACCEPTED)).agg(F.max("version")).first()[0]
+    if top is None:
+        raise LookupError(f"no accepted version of {name}")
+    return load_version(spark, path, name, top)

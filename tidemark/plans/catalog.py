@@ -634,6 +634,28 @@ def eval_mse_rmse(spark, sf_dir):
     return rounded(rounded(result, 0, "mse"), 4, "rmse")
 
 
+@query(f"""
+with marked as (select *, {_SPLIT_SQL} as split from lineitem),
+fit as {_ols_sql("(select * from marked where split = 'train')")}
+select l_orderkey, l_linenumber, round(my + b1 * (l_quantity - m1) + b2 * (l_discount - m2), 2) as predictions,
+  'accepted,rejected' as stages from marked, fit where split = 'test'
+""")
+def validated_scores(spark, sf_dir):
+    """Two versions are registered and validated, a fit and a later one that is far off; rows are scored by the accepted one."""
+    train, test = training.train_test_split(_fit_rows(spark, sf_dir), _LINE_KEYS)
+    fitted = training.fit_linear(train, _TERMS, "l_extendedprice")
+    far_off = training.LinearModel(fitted.features, fitted.coefficients, fitted.intercept + 1e7)
+    registry, decided = scratch_path(spark, "models"), scratch_path(spark, "stages")
+    stages = []
+    for model in (fitted, far_off):
+        training.register_model(spark, registry, "price", model)
+        found = flows.validate_latest(spark, test, "l_extendedprice", registry, decided, "price", limit=1e6)
+        stages.append(found.first()["stage"])
+    model = training.load_accepted(spark, registry, decided, "price")
+    scored = scoring.score(test, model).select(*_LINE_KEYS, "predictions", F.lit(",".join(stages)).alias("stages"))
+    return rounded(scored, 2, "predictions")
+
+
 @query("""
 with registry as (select l_returnflag as model, cast(year(l_shipdate) - 1994 as int) as version,
   avg(l_extendedprice) as intercept from lineitem group by 1, 2)

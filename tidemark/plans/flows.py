@@ -191,11 +191,28 @@ def train(spark: SparkSession, labels: DataFrame, store: DataFrame, keys: Sequen
     return tr.register_model(spark, registry_path, name, model, metrics), evaluation
 
 
+def validate_latest(spark: SparkSession, rows: DataFrame, target: str, registry_path: str,
+                    stages_path: str, name: str, limit: float = 2500.0) -> DataFrame:
+    """Score ``rows`` with the newest version registered, and accept it if its error is below ``limit``.
+
+    One row: version, mse, rmse, stage. Without a row to score, nothing is decided.
+    """
+    version = tr.next_version(spark, registry_path, name) - 1
+    model = tr.load_version(spark, registry_path, name, version)
+    found = tr.errors(scoring.score(rows, model), target, limit=limit).first()
+    if found["rmse"] is None:
+        raise ValueError("no complete rows to validate with")
+    stage = tr.decide_stage(spark, stages_path, name, version, found["accepted"], found["rmse"])
+    return spark.createDataFrame([(version, found["mse"], found["rmse"], stage)],
+                                 "version int, mse double, rmse double, stage string")
+
+
 def score_and_append(spark: SparkSession, store: DataFrame, registry_path: str, name: str,
                      path: str, day_col: str = "Date", *, day=None, start=None,
-                     end=None) -> None:
-    """Score a day or a range with the latest model and append it once."""
-    model = tr.load_latest(spark, registry_path, name)
+                     end=None, stages_path: str | None = None) -> None:
+    """Score a day or a range with the latest model, or the latest one accepted if a table of stages is given; append it once."""
+    model = (tr.load_accepted(spark, registry_path, stages_path, name) if stages_path
+             else tr.load_latest(spark, registry_path, name))
     scored = scoring.score_days(store, model, day_col, day=day, start=start, end=end)
     writers.append_new_days(scored, path, day_col=day_col, rebalance=day is None, day=day)
 
