@@ -95,3 +95,19 @@ def test_upsert_into_a_large_table(spark, shuffled):
     source = spark.range(25_000, 75_000).selectExpr("id as k", "1 as v")
     result = keyed.upsert_by_key(target, source, ["k"])
     assert result.agg(F.count("k"), F.count_distinct("k"), F.sum("v")).first() == (75_000, 75_000, 50_000)
+
+
+def test_the_cube_sums_few_lines_in_a_task(spark, monkeypatch):
+    """Lines are dealt out before they are summed, a group of very many lines too; the totals are the same."""
+    tables = star(spark)
+    day = F.to_date(F.lit("2024-02-01"))
+    for prefix, name in (("ss", "store_sales"), ("ws", "web_sales")):
+        more = spark.range(2_000).select(F.col("id").cast("int").alias("i")).crossJoin(tables[name].limit(1))
+        tables[name] = more.withColumn(f"{prefix}_net_paid", F.col("i")).withColumn("partition_date", day).drop("i")
+    want = sales.sales_totals(sales.sales_lines(**tables)).collect()
+    monkeypatch.setattr(sales, "LINES_A_TASK", 500)
+    got = sales.sales_cube(**tables)
+    assert {tuple(r) for r in got.collect()} == {tuple(r) for r in want} and len(want) == 2
+    plan = final_plan(got)
+    assert re.search(r"hashpartitioning\([^)]*net_paid[^)]*, 8\), REPARTITION_BY_NUM", plan)
+    assert plan.index("REPARTITION_BY_NUM") > plan.rindex("HashAggregate")  # partial sums come after

@@ -27,6 +27,9 @@ CUBE_KEYS = (
     "product_name", "source", "store_name",
 )
 
+# So many lines are summed by one task: as many groups at most, with all their names.
+LINES_A_TASK = 500_000
+
 
 @dataclass(frozen=True)
 class Channel:
@@ -89,3 +92,18 @@ def sales_lines(store_sales: DataFrame, web_sales: DataFrame, date_dim: DataFram
 def sales_totals(lines: DataFrame, keys: Sequence[str] = CUBE_KEYS) -> DataFrame:
     """Sums of all measures by ``keys``."""
     return lines.groupBy(*keys).agg(*[F.sum(m).alias(f"total_{m}") for m in MEASURES])
+
+
+def sales_cube(store_sales: DataFrame, web_sales: DataFrame, **dimensions: DataFrame) -> DataFrame:
+    """The totals by ``CUBE_KEYS``, ``LINES_A_TASK`` lines to a task.
+
+    Keys of facts take a few bytes in a shuffle, so a joined partition may be millions of
+    lines, nearly each a group of its own. The sales are counted, and
+    the lines dealt out again before they are summed. A hot group is spread
+    by one of its measures, and its sums are partial first.
+    """
+    lines = sales_lines(store_sales, web_sales, **dimensions)
+    tasks = -(-(store_sales.count() + web_sales.count()) // LINES_A_TASK)
+    if tasks > 1:
+        lines = lines.repartition(tasks, *CUBE_KEYS, "net_paid")
+    return sales_totals(lines)

@@ -91,7 +91,7 @@ def _in_units(df: DataFrame, prefix: str = "") -> DataFrame:
 
 
 def _cube(spark, sf_dir) -> DataFrame:
-    return sales.sales_totals(sales.sales_lines(**sales_star(spark, sf_dir)))
+    return sales.sales_cube(**sales_star(spark, sf_dir))
 
 
 @query(_totals_sql(sales.CUBE_KEYS))

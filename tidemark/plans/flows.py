@@ -64,7 +64,7 @@ def sales_curated(spark: SparkSession, enriched_root: str, path: str,
         name: readers.read_table(spark, f"{enriched_root}/{name}")
         for name in ("store_sales", "web_sales", "date_dim", "item", "store", "web_site")
     }
-    writers.write_table(sales.sales_totals(sales.sales_lines(**star)), path, table=table)
+    writers.write_table(sales.sales_cube(**star), path, table=table)
     cube = readers.read_table(spark, path)
     return quality.run_suite(cube, suites.curated_suite(), suite="curated", table="sales")
 
