@@ -79,6 +79,25 @@ def test_pieces_frames(spark):
     assert pieces.encode(frame(spark, [])).count() == 0
 
 
+def test_pieces_words_are_looked_up_and_run_once(vocabulary, monkeypatch):
+    """Words after single spaces come from a table, other texts chunk by chunk: the same ids."""
+    text = "a word and a word \u00e9t\u00e9 \U0001f600\nline " + "w" * 90 + " zz"
+    seen, run = [], vocabulary.viterbi
+    for held in (3, 200_000):
+        monkeypatch.setattr(pieces, "MEMO", held)
+        vocabulary.words.clear()
+        for t in (text, "a  b", " a", "a ", " ", "a\u2581b c", "a\0 b"):
+            marked = (pieces.SPACE + t.replace(" ", pieces.SPACE)).replace("\0", "")
+            want = [i for chunk in vocabulary._chunks(marked) for i in run(chunk)]
+            got = vocabulary.encode(t)
+            assert vocabulary.decode(got) == t and ("\u2581" in t or "\0" in t or list(got) == want)
+    monkeypatch.setattr(vocabulary.words, "encode", lambda chunk: seen.append(chunk) or run(chunk))
+    vocabulary.words.clear()
+    vocabulary.encode(text)
+    vocabulary.encode("a word and and")
+    assert len(seen) == len(set(seen)) == 7
+
+
 # --- 2: licences
 
 

@@ -18,6 +18,21 @@ SPACE = "▁"
 MEMO = 200_000  # chunks whose ids a worker remembers; then it starts anew
 
 
+class Words(dict):
+    """Ids of words after a space, as bytes, made when first asked for."""
+
+    def __init__(self, encode) -> None:
+        self.encode = encode
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.encode(SPACE + word).tobytes()
+        if len(word) < 64:
+            if len(self) >= MEMO:
+                self.clear()
+            self[word] = ids
+        return ids
+
+
 class Pieces:
     """A piece vocabulary with byte fallback.
 
@@ -46,6 +61,7 @@ class Pieces:
         self.breaks = not any(SPACE in p.lstrip(SPACE) for p in scores)
         self.plain = [p.replace(SPACE, " ") for p in self.texts]
         self.memo: dict[str, array] = {}
+        self.words = Words(self.viterbi)
 
     def viterbi(self, chunk: str) -> array:
         """Ids of the segmentation of largest total score; at ties the longer last piece wins.
@@ -54,42 +70,36 @@ class Pieces:
         links); each relaxes the best score of that position.
         """
         n, lost = len(chunk), self.lost
-        best, last = [0.0] * (n + 1), [None] * (n + 1)
+        best, width, piece = [0.0] * (n + 1), [1] * (n + 1), [-1] * (n + 1)
         done = 0
         for end, (size, score, i) in self.automaton.iter(chunk):
-            while done < end:  # positions no piece reaches
-                done += 1
-                if last[done] is None:
-                    best[done], last[done] = best[done - 1] + lost, (1, -1)
             at = end + 1
+            if at != done:  # the first piece that ends here
+                while done < at:  # positions no piece reaches, and the one without a piece to this
+                    best[done + 1] = best[done] + lost
+                    done += 1
             total = best[at - size] + score
-            old = last[at]
-            if old is None or total > best[at] or (total == best[at] and size > old[0]):
-                best[at], last[at] = total, (size, i)
-            if best[at - 1] + lost > best[at]:
-                best[at], last[at] = best[at - 1] + lost, (1, -1)
-        while done < n:
-            done += 1
-            if last[done] is None:
-                best[done], last[done] = best[done - 1] + lost, (1, -1)
-        back, at = [], n
+            if total > best[at] or (total == best[at] and size > width[at]):
+                best[at], width[at], piece[at] = total, size, i
+        ids, at = [], n
         while at:
-            size, i = last[at]
-            back.append(i if i >= 0 else chunk[at - 1])
-            at -= size
-        ids = array("i")
-        for x in reversed(back):
-            if isinstance(x, int):
-                ids.append(x)
+            if piece[at] >= 0:
+                ids.append(piece[at])
             else:
-                ids.extend(self.byte_ids[b] for b in x.encode())
-        return ids
+                ids += [self.byte_ids[b] for b in reversed(chunk[at - 1].encode())]
+            at -= width[at]
+        ids.reverse()
+        return array("i", ids)
 
     def encode(self, text: str | None) -> array:
         """Ids of the whole text; null and empty texts have none."""
         ids = array("i")
         if not text:
             return ids
+        words = text.split(" ")
+        if self.breaks and all(words) and SPACE not in text and "\0" not in text:  # each word is a chunk after one space
+            ids.frombytes(b"".join(map(self.words.__getitem__, words)))
+            return ids
         if SPACE in text or "\0" in text:  # signs that would not come back: bytes between encoded parts
             parts, run = [], []
             for c in text:
