@@ -15,8 +15,9 @@ from tidemark.durable import BROADCAST_ROWS, Scratch, broadcast_within, durable
 
 FREQUENT = 8  # a shingle that more sets than this are found to have is of the frequent class
 KEYS_SENT = 1_000_000  # so many shingle hashes at most are broadcast, some 10 MB
-FEW_COMPONENTS = 32  # a key of more components than this is paired by blocks
+FEW_COMPONENTS, FEW_SETS = 16, 32  # a key of more components or sets than this is paired by blocks
 BLOCK = 1024  # sets of a block
+BLOCK_BITS = 512  # bytes of parities that a set has in a block
 KEYS_HELD, KEYS_COMPARED = 64, 512  # of a set, and of two blocks, to leave out pairs that are made elsewhere
 LEAST_PERCENT = 73  # under about 70, sets could link without sharing a pair of frequent shingles
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)
@@ -76,11 +77,31 @@ def least_apart(a: bytes, b: bytes) -> int:
     The larger table is folded upon itself, as if it had had fewer cells.
     """
     x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
-    while len(x) > len(y):
-        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
-    while len(y) > len(x):
-        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
-    return int(np.bitwise_count(x ^ y).sum())
+    size = min(len(x), len(y))
+    return int(np.bitwise_count(folded(x, size) ^ folded(y, size)).sum())
+
+
+def folded(bits: np.ndarray, size: int) -> np.ndarray:
+    """Parity tables (the last axis) of at most ``size`` bytes, as if they had had fewer cells."""
+    while (half := bits.shape[-1] // 2) >= size:
+        bits = bits[..., :half] ^ bits[..., half:]
+    return bits
+
+
+def apart_by_block(mine: list[bytes], theirs: list[bytes]) -> np.ndarray:
+    """``least_apart`` of every two tables of two lists."""
+    sizes = [np.fromiter(map(len, tables), np.int64, len(tables)) for tables in (mine, theirs)]
+    out = np.empty((len(mine), len(theirs)), np.int32)
+    for size in np.union1d(*sizes):
+        at, bits = [], []
+        for tables, has in zip((mine, theirs), sizes):
+            at.append(np.flatnonzero(has >= size))
+            rows = [folded(np.frombuffer(tables[i], np.uint8), size) for i in at[-1]]
+            bits.append(np.unpackbits(np.array(rows, np.uint8).reshape(len(rows), size), axis=1).astype(np.float32))
+        x, y = bits
+        both = x.sum(1)[:, None] + y.sum(1) - 2 * (x @ y.T)  # whole numbers, exact
+        out[np.ix_(*at)] = both  # pairs with a smaller table have theirs; larger ones overwrite it
+    return out
 
 
 def base_length(n: int, percent: int) -> int:
@@ -233,44 +254,61 @@ def pivot_pairs(index: DataFrame, comp: DataFrame, salt: int, percent: int) -> D
     return pairs.where((F.col("comp") != F.col("far")) & within(percent)).select("member", "pivot").distinct()
 
 
-def crossing_pairs(scratch: Scratch, index: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
+def crossing_pairs(scratch: Scratch, index: DataFrame, comp: DataFrame, percent: int, sketches: DataFrame | None = None) -> DataFrame:
     """``member, pivot``: all pairs of a key between two components; components are paired first, so none is paired with itself.
 
-    Sets that share a key of many components mostly share many such keys. They are paired block by block, at the first of
-    these keys that both have, so that a pair is not made once for each.
+    Sets that share a key of many sets mostly share many such keys. They are paired block by block, at the first of
+    these keys that both have, so that a pair is not made once for each. With ``sketches`` (``node, bits``) the pairs
+    that parities rule out are left out there, before they are rows.
     """
     placed = scratch.put("placed", index.join(comp, "node").select("key", "node", "n", "comp"))
     held = scratch.put("key_comps", placed.groupBy("key", "comp").agg(F.count("*").alias("sets")))
-    spread = held.groupBy("key").agg(F.count("*").alias("comps"), F.sum(F.when(F.col("sets") <= BLOCK, F.col("sets")).otherwise(0)).alias("small"))
+    spread = held.groupBy("key").agg(F.count("*").alias("comps"), F.sum("sets").alias("all_sets"),
+                                     F.sum(F.when(F.col("sets") <= BLOCK, F.col("sets")).otherwise(0)).alias("small"))
     spread = scratch.put("spread", spread.where("comps > 1"))
-    few, many = spread.where(F.col("comps") <= FEW_COMPONENTS).select("key"), spread.where(F.col("comps") > FEW_COMPONENTS)
+    by_join = (F.col("comps") <= FEW_COMPONENTS) & (F.col("all_sets") <= FEW_SETS)
+    few, many = spread.where(by_join).select("key"), spread.where(~by_join).select("key", "small")
     some = held.join(few, "key").select("key", "comp")
     met = some.join(some.select("key", F.col("comp").alias("far")), "key").where("comp < far")
     left = placed.select("key", "comp", F.col("node").alias("member"), F.col("n").alias("na")).join(met, ["key", "comp"])
     right = placed.select("key", F.col("comp").alias("far"), F.col("node").alias("pivot"), F.col("n").alias("nb"))
     pairs = left.join(right, ["key", "far"]).where(within(percent)).select("member", "pivot")
-    return pairs.unionAll(block_pairs(scratch, placed, held, many, percent)).distinct()
+    return pairs.unionAll(block_pairs(scratch, placed, held, many, percent, sketches)).distinct()
+
+
+def short_parities(sketches: DataFrame) -> DataFrame:
+    """``node, bits`` with tables of at most ``BLOCK_BITS`` bytes, which bound the difference of sets too."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = [folded(np.frombuffer(b, np.uint8), BLOCK_BITS).tobytes() for b in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits, pa.binary())], ["node", "bits"])
+
+    return sketches.select("node", "bits").mapInArrow(run, "node long, bits binary")
 
 
-def block_pairs(scratch: Scratch, placed: DataFrame, held: DataFrame, keys: DataFrame, percent: int) -> DataFrame:
-    """``member, pivot`` of ``placed`` under ``keys``: pairs of unlike components and of sizes that can link.
+def block_pairs(scratch: Scratch, placed: DataFrame, held: DataFrame, keys: DataFrame, percent: int, sketches: DataFrame | None = None) -> DataFrame:
+    """``member, pivot`` of ``placed`` under ``keys``: pairs of unlike components and of sizes that can link, those that parities rule out left out.
 
     The sets of a key are cut into blocks of some ``BLOCK``: a component larger than that has blocks of its own, which are not paired with
     one another; the others share blocks, each whole in one. A pair is left out where both sets have a smaller one of the
     keys, as far as their ``KEYS_HELD`` smallest show; at the first key they share they never do.
     """
-    rows = placed.join(keys.select("key", "small"), "key").join(held.select("key", "comp", "sets"), ["key", "comp"])
+    rows = placed.join(keys, "key").join(held.select("key", "comp", "sets"), ["key", "comp"])
     pieces = F.ceil(F.when(F.col("sets") > BLOCK, F.col("sets")).otherwise(F.col("small")) / BLOCK)
     large = F.when(F.col("sets") > BLOCK, F.col("comp"))
     slot = F.pmod(F.when(large.isNull(), F.xxhash64("comp")).otherwise(F.xxhash64("node")), pieces)
     rows = scratch.put("blocks", rows.select("key", "node", "n", "comp", large.alias("large"), F.xxhash64(F.coalesce(large, F.lit(0)), slot).alias("block")))
     firsts = scratch.put("first_keys", rows.groupBy("node").agg(F.slice(F.array_sort(F.collect_list("key")), 1, KEYS_HELD).alias("keys")))  # of one set
+    if sketches is not None:
+        firsts = scratch.put("block_sets", firsts.join(short_parities(sketches.join(firsts.select("node"), "node", "left_semi")), "node"))
     blocks = scratch.put("block_list", rows.select("key", "block", "large").distinct())
     other = blocks.select("key", F.col("block").alias("b"), F.col("large").alias("far_large"))
     grid = blocks.withColumnRenamed("block", "a").join(other, "key").where("a <= b and (large is null or far_large is null or large != far_large)")
     grid = scratch.put("grid", grid.select("key", "a", "b"))
     ends = grid.select("key", "a", "b", F.col("a").alias("block")).unionAll(grid.where("a < b").select("key", "a", "b", F.col("b").alias("block")))
     wide = rows.select("key", "block", "node", "n", "comp").join(firsts, "node").join(ends, ["key", "block"])
+    bounded = sketches is not None
 
     def pair(table: pa.Table) -> pa.Table:
         key, first, last = (table.column(c)[0].as_py() for c in ("key", "a", "b"))
@@ -289,6 +327,12 @@ def block_pairs(scratch: Scratch, placed: DataFrame, held: DataFrame, keys: Data
         new = (has[x] @ has[y].T) == 0
         new &= comp[x][:, None] < comp[y] if first == last else comp[x][:, None] != comp[y]
         new &= (n[x][:, None] * 100 >= n[y] * percent) & (n[y] * 100 >= n[x][:, None] * percent)
+        if bounded and new.any():
+            x, y = x[new.any(1)], y[new.any(0)]
+            new = new[new.any(1)][:, new.any(0)]
+            bits = table.column("bits").to_pylist()
+            apart = apart_by_block([bits[i] for i in x], [bits[j] for j in y])
+            new &= apart * (100 + percent) <= (n[x][:, None] + n[y]) * (100 - percent)
         i, j = np.nonzero(new)
         return pa.table({"member": node[x[i]], "pivot": node[y[j]]})
 
@@ -439,8 +483,8 @@ def linked_components(docs: DataFrame, words: int = 4, percent: int = 85) -> Dat
 
         for salt in (1, 2):
             linked(pivot_pairs(index, comp, salt, percent))
-        linked(crossing_pairs(scratch, index, comp, percent))
-        scratch.drop("index", "placed", "key_comps", "spread", "blocks", "first_keys", "block_list", "grid", "probes", "links")
+        linked(crossing_pairs(scratch, index, comp, percent, sketches))
+        scratch.drop("index", "placed", "key_comps", "spread", "blocks", "first_keys", "block_sets", "block_list", "grid", "probes", "links")
         smallest = comp.join(firsts, "node").groupBy("comp").agg(F.min("first").alias("component_id"))
         of_node = comp.join(smallest, "comp").select(F.col("node").alias("_node"), "component_id")
         rows = all_rows.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.col("node")).alias("node"))
