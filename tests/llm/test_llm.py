@@ -523,6 +523,31 @@ def test_crossing_pairs_against_brute_force(spark, monkeypatch, few, block, held
     assert len(got) == len(set(got)) and set(got) == want
 
 
+@pytest.mark.parametrize("bits", [32, 512])
+def test_blocks_make_no_pairs_that_parities_rule_out(spark, monkeypatch, bits):
+    """Of sets that share a frequent passage, few components or many, only those come out that can link, and all of them."""
+    monkeypatch.setattr(jaccard, "BLOCK_BITS", bits)
+    rng = np.random.default_rng(bits)
+    sets, comp = {}, {}
+    for i in range(120):
+        size = int(rng.choice([60, 140, 260]))
+        own = sets[i - 1][:-1] if i % 10 == 9 else rng.integers(0, 2**63, size).astype(np.uint64)
+        sets[i], comp[i] = np.unique(own), i if i < 60 else 60 + i % 2
+    key = {i: 7 if i < 60 else 8 for i in sets}
+    index = spark.createDataFrame([(key[i], i, len(s)) for i, s in sets.items()], "key long, node long, n long")
+    labels = spark.createDataFrame(list(comp.items()), "node long, comp long")
+    sketches = spark.createDataFrame([(i, len(s), bytearray(jaccard.parity_bits(s))) for i, s in sets.items()], "node long, n long, bits binary")
+    with Scratch(spark) as scratch:
+        got = {tuple(sorted(p)) for p in jaccard.crossing_pairs(scratch, index, labels, 85, sketches).collect()}
+        every = jaccard.crossing_pairs(scratch, index, labels, 85).count()
+    linked = {(i, i + 1) for i in range(8, 119, 10)}
+    assert linked <= got and every > 400
+    assert got == linked if bits == 512 else len(got) < every
+    tables = [jaccard.parity_bits(s) for s in sets.values()]
+    want = [[jaccard.least_apart(a, b) for b in tables] for a in tables[:50]]
+    assert jaccard.apart_by_block(tables[:50], tables).tolist() == want
+
+
 def test_parity_bound_loses_no_link():
     rng = np.random.default_rng(3)
     for size in (1, 3, 40, 900, 5000):
@@ -578,6 +603,24 @@ def test_pipeline(spark):
     assert sizes[0] >= sizes[2] and sizes[0] == sizes[1]
 
 
+def test_pipeline_lines_are_dropped_without_python(spark):
+    """The line stage is DataFrame functions alone; passages of two sources go in the next, near copies whole."""
+    import corpus_pipeline
+
+    stages = dict(corpus_pipeline.STAGES)
+    passage, copy = (" ".join(f"{c}{j}" for j in range(60)) for c in "pc")
+    rows = [(i, " ".join(f"own{i}x{j}" for j in range(90)) + f"\n{passage}", "en", "ab"[i % 2], 1) for i in range(4)]
+    rows += [(10 + i, " ".join(f"d{j}" for j in range(200)) + f"\n{copy}\nending {i}", "en", "ab"[i], 1) for i in range(2)]
+    seen = []
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(jaccard, "linked_components", lambda *_: seen.append(1))
+        docs = jaccard.durable(stages["line_dedup"](spark, frame(spark, rows), SF_DIR))
+    assert not seen and {r.text for r in docs.collect()} == {r[1] for r in rows}
+    by = {r.doc_id: r.text for r in stages["near_duplicates"](spark, docs, SF_DIR).collect()}
+    assert sorted(by) == [0, 1, 2, 3, 10] and by[0] == rows[0][1] and by[10] == rows[4][1]
+    assert all(by[i] == rows[i][1].split("\n")[0] for i in (1, 2, 3))
+
+
 @pytest.mark.parametrize("labels", [[], [(1, 1, 0), (2, 1, 0), (3, 1, 0)]])
 def test_pipeline_keeps_all_without_both_classes(spark, tmp_path, labels):
     import corpus_pipeline
