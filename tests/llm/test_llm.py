@@ -3,6 +3,7 @@
 import collections
 import itertools
 import re
+import time
 import zlib
 
 import numpy as np
@@ -10,7 +11,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.durable import Scratch
+from tidemark.durable import Scratch, durable
 from tidemark.llm import ann, html, jaccard, licenses, linededup, mixing, pieces, quality, topk, urls
 from tests.compare import connect, duck_rows, spark_rows
 from tidemark.llm.queries import QUERIES, SQL
@@ -621,6 +622,42 @@ def test_pipeline_lines_are_dropped_without_python(spark):
     assert all(by[i] == rows[i][1].split("\n")[0] for i in (1, 2, 3))
 
 
+def shuffle_files(spark):
+    """Shuffle files that are still on disk a moment after."""
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    for _ in range(20):
+        found = {name for name in (disk.getAllFiles().apply(i).getName() for i in range(disk.getAllFiles().size())) if name.startswith("shuffle")}
+        yield found
+        time.sleep(0.2)
+
+
+def test_written_frames_leave_no_shuffle_files(spark):
+    """They added up over the writes of a stage until the driver collected its garbage."""
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = next(shuffle_files(spark)), spark.conf.get(setting)
+    rows = spark.range(1000).select(F.col("id"), (F.col("id") % 7).alias("k"))
+    dealt = rows.repartition(3, "k").groupBy("id").agg(F.max("k").alias("k"))
+    with Scratch(spark) as scratch:
+        assert scratch.put("dealt", dealt).count() == 1000 and durable(dealt).count() == 1000
+        for _ in range(3):
+            scratch.put("dealt", dealt)
+        with pytest.raises(Exception, match="not so"):
+            scratch.put("dealt", dealt.withColumn("k", F.raise_error(F.lit("not so")).cast("long")))
+    assert spark.conf.get(setting) == was
+    left = next((found for found in shuffle_files(spark) if len(found - before) <= 2 * 3), None)  # of the two counts
+    assert left is not None
+
+
+def test_near_duplicates_free_their_shuffles(spark):
+    import corpus_pipeline
+
+    before = next(shuffle_files(spark))
+    docs = durable(spark.read.parquet(f"{SF_DIR}/documents.parquet"))
+    out = corpus_pipeline.keep_one_of_each(spark, docs, SF_DIR)
+    made = next((found for found in shuffle_files(spark) if len(found - before) < 60), None)
+    assert made is not None and 0 < out.count() < docs.count()
+
+
 @pytest.mark.parametrize("labels", [[], [(1, 1, 0), (2, 1, 0), (3, 1, 0)]])
 def test_pipeline_keeps_all_without_both_classes(spark, tmp_path, labels):
     import corpus_pipeline

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +14,7 @@ from pyspark.sql import functions as F
 # A frame of at most this many narrow rows (days, bucket edges, per-slice
 # totals) is a few MB once serialised.
 BROADCAST_ROWS = 100_000
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 _local_folders: dict[str, str] = {}
 
@@ -39,14 +42,30 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_folder(spark), f"{label}-{uuid.uuid4().hex}")
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the jobs run inside are deleted as each job's query ends.
+
+    Else they stay until the driver happens to collect its garbage, and those of
+    many writes in a row add up on the executors' disks.
+    """
+    before = spark.conf.get(FREE_SHUFFLES, "false")
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder, once, and go on from what was written.
 
     Cuts the lineage like a checkpoint does, but the copy is columnar and its
-    size is known to later joins.
+    size is known to later joins. Nothing reads the shuffles behind it any more, so they go.
     """
     path = scratch_path(df.sparkSession, "durable")
-    df.write.parquet(path)
+    with shuffles_freed(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -76,7 +95,8 @@ class Scratch:
         """Write ``df``; a frame put under the same name before, which ``df`` may read, is deleted then."""
         path = scratch_path(self.spark, name)
         try:
-            df.write.parquet(path)
+            with shuffles_freed(self.spark):
+                df.write.parquet(path)
         except BaseException:
             remove(self.spark, path)
             raise
