@@ -2,6 +2,7 @@
 
 import collections
 import itertools
+import os
 import re
 import time
 import zlib
@@ -623,11 +624,11 @@ def test_pipeline_lines_are_dropped_without_python(spark):
 
 
 def shuffle_files(spark):
-    """Shuffle files that are still on disk a moment after."""
+    """Shuffle files that are on disk, looked for again and again for some seconds."""
     disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    tops = [folder.getPath() for folder in disk.localDirs()]
     for _ in range(20):
-        found = {name for name in (disk.getAllFiles().apply(i).getName() for i in range(disk.getAllFiles().size())) if name.startswith("shuffle")}
-        yield found
+        yield {name for top in tops for _, _, names in os.walk(top) for name in names if name.startswith("shuffle")}
         time.sleep(0.2)
 
 
