@@ -1,8 +1,11 @@
 """A key with a third of all rows: split by adaptive execution, results whole."""
 
+import os
 import re
+from collections import Counter
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from tidemark.operators import cleaning, drift, features, sales
@@ -111,3 +114,70 @@ def test_the_cube_sums_few_lines_in_a_task(spark, monkeypatch):
     plan = final_plan(got)
     assert re.search(r"hashpartitioning\([^)]*net_paid[^)]*, 8\), REPARTITION_BY_NUM", plan)
     assert plan.index("REPARTITION_BY_NUM") > plan.rindex("HashAggregate")  # partial sums come after
+
+
+def shuffle_bytes(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return sum(os.path.getsize(f"{at}/{name}") for folder in disk.localDirs()
+               for at, _, names in os.walk(folder.getPath()) for name in names if name.startswith("shuffle"))
+
+
+def many_sales(spark, key="int"):
+    """6,000 lines of 200 dates, 50 items and 2 outlets, a sixth without a date or an item; names and keys repeat."""
+    tables = star(spark)
+    line = spark.range(0, 6_000, 1, 4)
+    for prefix, outlet, name in (("ss", "store_sk", "store_sales"), ("ws", "web_site_sk", "web_sales")):
+        tables[name] = line.select(
+            F.to_date(F.lit("2024-02-01")).alias("partition_date"),
+            F.when(F.col("id") % 6 > 0, F.col("id") % 200).cast(key).alias(f"{prefix}_sold_date_sk"),
+            F.when(F.col("id") % 7 > 0, F.col("id") % 50).cast("int").alias(f"{prefix}_item_sk"),
+            (F.col("id") % 2).cast("int").alias(f"{prefix}_{outlet}"), F.lit(2).alias(f"{prefix}_quantity"),
+            *[F.when(F.col("id") % 11 > 0, F.col("id") % 1000).cast("decimal(7,2)").alias(f"{prefix}_{m}")
+              for m in sales.MEASURES.values() if m != "quantity" and (prefix == "ws" or "ship" not in m)])
+    day = F.date_add(F.lit("2001-01-01"), (F.col("k") % 20).cast("int"))
+    tables["date_dim"] = spark.range(205).select((F.col("id") % 200).alias("k")).select(
+        F.col("k").alias("d_date_sk"), day.alias("d_date"), F.year(day).alias("d_year"),
+        F.when(F.col("k") % 3 > 0, "2001Q1").alias("d_quarter_name"))
+    tables["item"] = spark.range(50).selectExpr(
+        "id as i_item_sk", "concat('b', id % 5) as i_brand", "if(id % 4 = 0, null, 'm') as i_manufact",
+        "concat('p', id % 10) as i_product_name")
+    for name, outlet, label in (("store", "s_store_sk", "s_store_name"), ("web_site", "web_site_sk", "web_name")):
+        tables[name] = spark.range(2).select(F.col("id").cast("int").alias(outlet), F.lit("x").alias(label))
+    return tables
+
+
+@pytest.mark.parametrize("key, a_cell", [("int", 4_000), ("string", 400)])
+def test_the_cube_of_many_lines_by_cells(spark, shuffled, monkeypatch, key, a_cell):
+    """The same rows and types by 4 and by 16 cells, from keys of one type or two."""
+    tables = many_sales(spark, key)
+    want = sales.sales_cube(**tables)
+    monkeypatch.setattr(sales, "LINES_A_CELL", a_cell)
+    monkeypatch.setattr(sales, "LINES_A_TASK", 100)
+    got = sales.sales_cube(**tables)
+    assert [(f.name, f.dataType) for f in got.schema] == [(f.name, f.dataType) for f in want.schema]
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect())) and want.count() > 100
+
+
+def test_the_cube_of_many_lines_without_matches(spark, monkeypatch):
+    monkeypatch.setattr(sales, "LINES_A_CELL", 400)
+    tables = many_sales(spark)
+    assert sales.sales_cube(**{**tables, "item": tables["item"].limit(0)}).collect() == []
+
+
+def test_the_cube_of_many_lines_leaves_little_on_disk(spark, shuffled, monkeypatch, tmp_path):
+    """Shuffles of all joins and sums lay on disk to the end; now a cell's go when its sums are written."""
+    tables = many_sales(spark)
+    most, before = [], shuffle_bytes(spark)
+    write = DataFrameWriter.parquet
+    def watched(*args, **options):
+        write(*args, **options)
+        most.append(shuffle_bytes(spark) - before)
+    sales.sales_cube(**tables).write.parquet(str(tmp_path / "whole"))
+    whole = shuffle_bytes(spark) - before
+    monkeypatch.setattr(DataFrameWriter, "parquet", watched)
+    monkeypatch.setattr(sales, "LINES_A_CELL", 400)
+    before = shuffle_bytes(spark)
+    cube = sales.sales_cube(**tables)
+    plan = cube._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and len(most) == 16 + 8 and max(most) < whole / 3
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
